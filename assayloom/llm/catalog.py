@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayloom.llm import canonical, copies, glyphs
+from assayloom.llm import canonical, copies, glyphs, markup, survivor
 from assayloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,11 @@ def _over(fn: Callable[..., DataFrame], *names: str) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "p2_found": _over(markup.found, "papers"),
+        "p2_cleaned": _over(markup.cleaned, "papers"),
         "p3_found": _over(canonical.found, "assay_rows", "curated_records", "organism_ref"),
+        "p4_found": _over(survivor.found, "papers"),
+        "p4_records": _over(survivor.records, "papers"),
         "p5_found": _over(copies.found, "assay_rows", "llm_rows"),
         "p5_measurements": _over(copies.measurements, "assay_rows", "llm_rows"),
         "p6_found": _over(glyphs.found, "assay_rows", "curated_records", "unit_ref"),
