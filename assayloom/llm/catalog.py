@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayloom.llm import canonical, copies, glyphs, markup, subjects, survivor
+from assayloom.llm import canonical, copies, glyphs, markup, mixing, packing, subjects, survivor
 from assayloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def queries() -> dict[str, Query]:
         "p5_found": _over(copies.found, "assay_rows", "llm_rows"),
         "p5_measurements": _over(copies.measurements, "assay_rows", "llm_rows"),
         "p6_found": _over(glyphs.found, "assay_rows", "curated_records", "unit_ref"),
+        "p8_packed": _over(packing.pack_documents, "documents", "pack_specs"),
+        "p8_fill": _over(packing.fill_report, "documents", "pack_specs"),
+        "p9_drawn": _over(mixing.mixed, "documents", "mix_targets", "subject_labels", "subject_ref"),
+        "p9_shares": _over(mixing.report, "documents", "mix_targets", "subject_labels", "subject_ref"),
         "p10_found": _over(subjects.assign_subjects, "documents", "subject_labels", "subject_ref"),
         "p10_composition": _over(subjects.composition, "documents", "subject_labels", "subject_ref"),
     }
