@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayloom.llm import canonical, copies, glyphs, markup, mixing, packing, subjects, survivor
+from assayloom.llm import canonical, copies, glyphs, markup, match, mixing, packing, subjects, survivor
 from assayloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ def _over(fn: Callable[..., DataFrame], *names: str) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": _over(match.found, "papers"),
+        "p1_matches": _over(match.match_papers, "papers"),
         "p2_found": _over(markup.found, "papers"),
         "p2_cleaned": _over(markup.cleaned, "papers"),
         "p3_found": _over(canonical.found, "assay_rows", "curated_records", "organism_ref"),
