@@ -206,7 +206,11 @@ def render(node: Node, template: frozenset[str] = frozenset(), path: str = "doc"
     _write(node, out, template, path)
     text = "".join(out).replace("\xa0", " ")
     lines = [re.sub(r"[ \t]+", " ", x).strip() if not x.startswith("\ue020") else x[1:] for x in text.split("\n")]
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+    text = re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+    return _ITEMS.sub(r"\1\n", text)
+
+
+_ITEMS = re.compile(r"(?m)^((?:- |\d+\. ).*)\n\n(?=- |\d+\. )")
 
 
 def _write(node: Node, out: list[str], template: frozenset[str], path: str) -> None:
