@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions import numeric, text
-from assayloom.operators import curate, extract, graph, joins, order, quantities, retrieve, routing, score
+from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score
 from assayloom.session import table
 from assayloom.streaming import windows
 
@@ -157,6 +157,19 @@ def _hash(t):
     return t("curated_records").select("rec_no", text.record_hash(F.col("source_pdf"), F.col("source_page"), F.col("name_raw"), F.col("value_raw")).alias("rid"))
 
 
+@query("name_clusters")
+def _names(t):
+    loose = t("curated_records").filter("inchikey is null and pubchem_cid is null and cas is null")
+    return fuzzy.cluster_names(loose.withColumn("name", F.coalesce("name_std", "name_raw")), "rec_no", "name")
+
+
+@query("assay_vocabulary")
+def _vocabulary(t):
+    rows = t("curated_records").filter("assay_type_raw is not null").groupBy("assay_type_raw").agg(F.count("*").alias("n"))
+    known = text.assay_type(F.col("assay_type_raw"))
+    return rows.select("assay_type_raw", F.coalesce(known, fuzzy.nearest_word(F.col("assay_type_raw"), sorted({v for _, v in text.ASSAY_RULES}))).alias("assay"), "n")
+
+
 # ---- scoring -----------------------------------------------------------------------------------------------------------
 _FIELDS = ["compound_id", "target_type", "target_relation", "target_value", "target_units", "bacteria"]
 

@@ -8,7 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from assayloom.operators import curate, extract, graph, joins, order, quantities, retrieve, routing, score
+from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score
 from assayloom.sources import readers, writers
 from assayloom.streaming import windows
 
@@ -211,3 +211,18 @@ def test_stream_equals_batch(spark, tmp_path):
     key = lambda d: sorted((str(r[0]), r[1], r[2]) for r in d.collect())
     assert key(spark.table("tumbled")) == key(windows.tumbling(df))
     assert sum(r["n"] for r in windows.sessions(df).collect()) == 40
+
+
+def test_weighted_ratio():
+    assert fuzzy.weighted_ratio("aspirin", "aspirin") == 100 and fuzzy.weighted_ratio("", "a") == 0
+    assert fuzzy.weighted_ratio("acid acetic", "acetic acid") == 95 and abs(fuzzy.ratio("abcd", "abxd") - 75) < 1e-9
+    assert fuzzy.weighted_ratio("abc", "zzabczz") == 90
+
+
+def test_name_clusters(spark):
+    rows = [(1, "7-benzyloxy-thiazole 3c"), (2, "7-benzyloxy-thiazole 3d"), (3, "indole"), (4, None), (5, "INDOLE"), (6, "indoles")]
+    df = spark.createDataFrame(rows, "rec_no long, name_std string")
+    got = {r["name_std"]: r["leader"] for r in fuzzy.cluster_names(df, "rec_no", "name_std").collect()}
+    assert got == {"7-benzyloxy-thiazole 3c": "7-benzyloxy-thiazole 3c", "7-benzyloxy-thiazole 3d": "7-benzyloxy-thiazole 3c", "indole": "indole", "indoles": "indoles"}
+    exact = {r["name_std"]: r["leader"] for r in fuzzy.cluster_names(df, "rec_no", "name_std", exact=True).collect()}
+    assert exact["indoles"] == "indole"
