@@ -29,8 +29,8 @@ COMMON = 0.0005
 #: Records that walks, vectors and calibration are fitted on (all of them up to there).
 SAMPLE = 8_000
 #: Tables per view, the greatest signature distance of a view that is reranked, words of a head, and records in a crowded bucket.
-TABLES = {"title": 8, "lead": 2, "second": 1}
-REACH = {"title": 22, "lead": 14, "second": 14}
+TABLES = {"title": 8, "lead": 2, "second": 2}
+REACH = {"title": 22, "lead": 22, "second": 22}
 HEAD, CROWD = 6, 400
 #: Crowded buckets that may be known to every task; beyond, they are told by a join.
 KNOWN_CROWDS = 100_000
