@@ -28,7 +28,7 @@ DIM = 64
 COMMON = 0.0005
 #: Records that walks, vectors and calibration are fitted on (all of them up to there).
 SAMPLE = 8_000
-#: Tables per view, the greatest signature distance of a view that is reranked, words of a head, and records in a crowded bucket.
+#: Tables per view, the greatest signature distance of a view that is reranked, words of a head, and records in a block of a crowded bucket.
 TABLES = {"title": 8, "lead": 2, "second": 2}
 REACH = {"title": 22, "lead": 22, "second": 22}
 HEAD, CROWD = 6, 400
@@ -273,20 +273,24 @@ def buckets(classes: DataFrame, embedder, bits: int) -> DataFrame:
 def candidates(rows: DataFrame) -> DataFrame:
     """Pairs of records (a, b) that share a bucket in some table and whose signatures are near, without pairs DOIs rule out.
 
-    Crowded coarse buckets are joined on their fine bucket instead, so that no bucket brings more than a crowd together; exact
-    repeats are one record here, and the other tables serve the pairs a finer bucket parts.
+    A crowded bucket is split into salted blocks of about `CROWD` records, and every pair of blocks is compared by a task's key of
+    its own: no key brings more than two blocks together and no pair of the bucket is lost. Exact repeats are one record here.
     """
-    crowded = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("key", F.lit(True).alias("crowded"))
-    known = crowded.limit(KNOWN_CROWDS + 1).collect()
-    if len(known) > KNOWN_CROWDS:
-        keyed = rows.join(crowded, "key", "left")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"))
+    known = sizes.limit(KNOWN_CROWDS + 1).collect()
+    if not known:
+        keyed = rows.select("key", F.lit(0).alias("own"), F.lit(0).alias("other"), "sign", "c", "doi", "about")
     else:
-        keyed = rows.withColumn("crowded", F.col("key").isin([r["key"] for r in known]) if known else F.lit(False))
-    keyed = keyed.select(F.when(F.col("crowded"), F.xxhash64("key", "fine")).otherwise(F.col("key")).alias("key"), "sign", "c", "doi", "about")
+        told = sizes if len(known) > KNOWN_CROWDS else F.broadcast(rows.sparkSession.createDataFrame(known, "key long, blocks int"))
+        blocked = rows.join(told, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+        met = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        low, high = F.least("own", "other"), F.greatest("own", "other")
+        keyed = met.select(F.when(F.col("blocks") > 1, F.xxhash64("key", low, high)).otherwise(F.col("key")).alias("key"), "own", "other", "sign", "c", "doi", "about")
     # one exchange serves both sides of the join
     spread = keyed.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
-    side = lambda x: spread.select("key", F.col("sign").alias(f"s{x}"), F.col("c").alias(x), F.col("doi").alias(f"d{x}"), F.col("about").alias(f"t{x}"))
-    pairs = side("a").join(side("b"), "key").filter("a < b")
+    side = lambda x: spread.select("key", F.col("sign").alias(f"s{x}"), F.col("c").alias(x), F.col("doi").alias(f"d{x}"), F.col("about").alias(f"t{x}"), F.col("own").alias(f"o{x}"), F.col("other").alias(f"p{x}"))
+    # records of one block meet under the block's pair with itself, of two blocks under the pair of both
+    pairs = side("a").join(side("b"), "key").filter("a < b and oa = pb and pa = ob")
     reach = F.element_at(F.array(*[F.lit(REACH[v]) for v in TABLES]), F.shiftright("ta", 24) + 1)
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= reach
     year = lambda x: F.shiftright(f"t{x}", 9).bitwiseAND(0xFFF)

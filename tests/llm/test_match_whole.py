@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from assayloom.llm import match
@@ -14,3 +16,15 @@ def test_every_view_reaches_as_far(spark, view):
     rows = spark.createDataFrame([(1, 1, 0, 1, 0, view << 24), (1, 1, (1 << 22) - 1, 2, 0, view << 24), (1, 1, -1, 3, 0, view << 24)], BUCKET)
     assert {tuple(r) for r in match.candidates(rows).collect()} == {(1, 2)}
     assert list(match.TABLES.values())[view] >= 2
+
+
+@pytest.mark.parametrize("known", [match.KNOWN_CROWDS, 0])
+def test_crowded_buckets_lose_no_pair(spark, monkeypatch, known):
+    monkeypatch.setattr(match, "CROWD", 20)
+    monkeypatch.setattr(match, "KNOWN_CROWDS", known)
+    rng = random.Random(3)
+    sign = lambda: sum(1 << b for b in rng.sample(range(63), 14))
+    rows = [(key, rng.randrange(1024), sign(), c, 0, 0) for c, key in enumerate([7] * 150 + [8] * 15 + [9] * 45)]
+    got = [tuple(r) for r in match.candidates(spark.createDataFrame(rows, BUCKET)).collect()]
+    want = {(a[3], b[3]) for a in rows for b in rows if a[3] < b[3] and a[0] == b[0] and (a[2] ^ b[2]).bit_count() <= match.REACH["title"]}
+    assert len(want) > 1000 and set(got) == want and len(got) == len(want)
