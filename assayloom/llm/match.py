@@ -305,7 +305,7 @@ def match_papers(papers: DataFrame, least: float = 0.5) -> DataFrame:
 
     Rows without a title match nothing; missing authors, years and DOIs are legal; rows equal in every compared field are one
     record while matching and are expanded at the end. Matches and shared DOIs link records to works; rows of a work that were not
-    matched directly pair with the confidence of its weakest link. Vectors are fitted on at most `SAMPLE` records, all rows are indexed.
+    matched directly pair with the confidence of its weakest link. Where links join several journal DOIs, the weakest are cut. Vectors are fitted on at most `SAMPLE` records, all rows are indexed.
     """
     spark = papers.sparkSession
     raw = papers.select(F.col("paper_row").alias("id"), "source", doi_key(F.col("doi")).alias("doi"), "title", "authors", "year").filter("title is not null")
@@ -347,17 +347,64 @@ def match_papers(papers: DataFrame, least: float = 0.5) -> DataFrame:
     found = cut(loaded.mapInPandas(rerank, "a long, b long, confidence double").filter(F.col("confidence") >= least))
     named = classes.filter("doi is not null").groupBy("doi").agg(F.min("c").alias("b"))
     carried = classes.filter("doi is not null").join(named, "doi").filter("c <> b").select(F.col("c").alias("a"), "b", F.lit(1.0).alias("confidence"))
-    works = components(found.unionByName(carried))
-    rows = members.select("id", "source", "doi", "kind", "h", "g").join(classes.select("h", "g", "c"), ["h", "g"]).drop("h", "g")
-    rows = cut(rows.join(works, "c", "left").select("id", "source", "doi", "c", "kind", F.coalesce("work", "c").alias("work"), "weakest"))
-    # a component that holds two journal DOIs or kinds joins works that are not one: there only direct matches count
-    journal = F.when(F.col("doi").isNotNull() & ~F.col("doi").contains("/pre.") & F.col("doi").rlike("[0-9]{8}$"), F.col("doi"))
-    mixed = rows.groupBy("work").agg((F.min(journal) != F.max(journal)).alias("mixed")).filter("mixed").select("work", F.lit(True).alias("mixed"))
-    rows = rows.join(mixed, "work", "left")
-    one = lambda x: rows.select("work", F.col("c").alias(f"c{x}"), F.col("id").alias(f"i{x}"), F.col("source").alias(f"s{x}"), F.col("doi").alias(f"d{x}"), F.coalesce("mixed", F.lit(False)).alias(f"m{x}"), F.coalesce("weakest", F.lit(1.0)).alias(f"w{x}"))
-    pairs = one("a").join(one("b"), "work").filter("ia < ib and not (sa <=> sb) and not coalesce(da = db, false)").withColumn("a", F.least("ca", "cb")).withColumn("b", F.greatest("ca", "cb"))
-    scored = pairs.join(found, ["a", "b"], "left").filter("not ma or confidence is not null or ca = cb")
-    return scored.select(F.col("ia").alias("paper_row_a"), F.col("ib").alias("paper_row_b"), F.coalesce("confidence", F.when(F.col("a") == F.col("b"), 1.0), F.col("wa")).alias("confidence"))
+    works = parted(found, carried, classes)
+    rows = members.select("id", "source", "doi", "h", "g").join(classes.select("h", "g", "c"), ["h", "g"]).drop("h", "g")
+    rows = cut(rows.join(works, "c", "left").select("id", "source", "doi", "c", F.coalesce("work", "c").alias("work"), F.coalesce("weakest", F.lit(1.0)).alias("weakest")))
+    one = lambda x: rows.select("work", F.col("c").alias(f"c{x}"), F.col("id").alias(f"i{x}"), F.col("source").alias(f"s{x}"), F.col("doi").alias(f"d{x}"), F.col("weakest").alias(f"w{x}"))
+    pair = "not (sa <=> sb) and not coalesce(da = db, false)"
+    pairs = one("a").join(one("b"), "work").filter(f"ia < ib and {pair}").withColumn("a", F.least("ca", "cb")).withColumn("b", F.greatest("ca", "cb"))
+    closed = pairs.join(found, ["a", "b"], "left").select("ia", "ib", F.coalesce("confidence", F.when(F.col("a") == F.col("b"), 1.0), F.col("wa")).alias("confidence"))
+    # matches between two parts of a component count for themselves
+    label = lambda x: works.select(F.col("c").alias(x), F.col("work").alias(f"p{x}"))
+    across = found.join(label("a"), "a").join(label("b"), "b").filter("pa <> pb").select(F.col("a").alias("ca"), F.col("b").alias("cb"), "confidence")
+    across = across.join(one("a").drop("work"), "ca").join(one("b").drop("work"), "cb").filter(pair).select(F.least("ia", "ib").alias("ia"), F.greatest("ia", "ib").alias("ib"), "confidence")
+    return closed.unionByName(across).toDF("paper_row_a", "paper_row_b", "confidence")
+
+
+_PART = T.StructType().add("c", T.LongType()).add("work", T.LongType()).add("weakest", T.DoubleType())
+
+
+def split_work(edges: pd.DataFrame) -> pd.DataFrame:
+    """(c, work, weakest) of a component's parts. Links join records from the strongest on, shared DOIs before all; a link that
+    would bring together two journal DOIs, neither of them the other one cut short, is left out."""
+    edges = edges.sort_values(["carried", "confidence", "a", "b"], ascending=[False, False, True, True])
+    up: dict[int, int] = {}
+    doi: dict[int, str] = {}
+    for c, d in zip([*edges["a"], *edges["b"]], [*edges["da"], *edges["db"]]):
+        up[c] = c
+        doi[c] = d if d and not is_preprint(d) else ""
+
+    def top(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    for a, b in zip(edges["a"], edges["b"]):
+        x, y = sorted((top(a), top(b)))
+        short, long = sorted((doi[x], doi[y]), key=len)
+        if x != y and long.startswith(short):
+            up[y], doi[x] = x, long  # the DOIs of a part are beginnings of its longest
+    weakest: dict[int, float] = {}
+    for a, b, w in zip(edges["a"], edges["b"], edges["confidence"]):
+        if top(a) == top(b):
+            weakest[top(a)] = min(w, weakest.get(top(a), 1.0))
+    return pd.DataFrame({"c": list(up), "work": [top(c) for c in up], "weakest": [weakest.get(top(c), 1.0) for c in up]})
+
+
+def parted(found: DataFrame, carried: DataFrame, classes: DataFrame) -> DataFrame:
+    """(c, work, weakest): components of matches and shared DOIs, those with several journal DOIs cut at their weakest links.
+
+    A task holds the links of one such component.
+    """
+    edges = found.select("a", "b", "confidence", F.lit(False).alias("carried")).unionByName(carried.select("a", "b", "confidence", F.lit(True).alias("carried")))
+    works = cut(components(edges))
+    doi = classes.select("c", "doi")
+    journal = F.when(~(F.col("doi").contains("/pre.") | F.col("doi").contains("/arxiv") | F.col("doi").contains("preprint")), F.col("doi"))
+    mixed = works.join(doi, "c").groupBy("work").agg(F.min(journal).alias("x"), F.max(journal).alias("y")).filter("x <> y").select("work")
+    members = cut(works.join(mixed, "work", "left_semi").join(doi, "c").select("c", "work", "doi"))
+    links = edges.join(members.toDF("a", "whole", "da"), "a").join(members.select(F.col("c").alias("b"), F.col("doi").alias("db")), "b")
+    parts = links.groupBy("whole").applyInPandas(split_work, _PART)
+    return cut(works.join(members, "c", "left_anti").select("c", "work", "weakest").unionByName(parts))
 
 
 def components(edges: DataFrame, rounds: int = 20) -> DataFrame:

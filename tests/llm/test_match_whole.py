@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 
 from assayloom.llm import match
@@ -28,3 +29,17 @@ def test_crowded_buckets_lose_no_pair(spark, monkeypatch, known):
     got = [tuple(r) for r in match.candidates(spark.createDataFrame(rows, BUCKET)).collect()]
     want = {(a[3], b[3]) for a in rows for b in rows if a[3] < b[3] and a[0] == b[0] and (a[2] ^ b[2]).bit_count() <= match.REACH["title"]}
     assert len(want) > 1000 and set(got) == want and len(got) == len(want)
+
+
+def test_mixed_component_is_cut_at_its_weakest_link(spark):
+    # x-y match, y and z share a DOI that is not of the form of the tables, a false link joins them to another work
+    classes = spark.createDataFrame([(1, None), (2, "10.1/j.a-7"), (3, "10.1/j.a-7"), (4, "10.1/j.b-9"), (5, None), (6, "10.1/pre.1"), (7, "10.1/j.b")], "c long, doi string")
+    found = spark.createDataFrame([(1, 2, 0.9), (1, 5, 0.6), (4, 5, 0.8), (4, 6, 0.95), (5, 7, 0.7)], "a long, b long, confidence double")
+    carried = spark.createDataFrame([(3, 2, 1.0)], "a long, b long, confidence double")
+    got = {r["c"]: (r["work"], r["weakest"]) for r in match.parted(found, carried, classes).collect()}
+    assert got == {1: (1, 0.9), 2: (1, 0.9), 3: (1, 0.9), 4: (4, 0.7), 5: (4, 0.7), 6: (4, 0.7), 7: (4, 0.7)}
+
+
+def test_split_work_keeps_a_component_without_conflict():
+    edges = pd.DataFrame({"a": [1, 2], "b": [2, 3], "confidence": [0.6, 0.9], "carried": [False, False], "da": ["10.1/x.12", None], "db": [None, "10.1/x.1234"]})
+    assert set(match.split_work(edges)["work"]) == {1} and set(match.split_work(edges)["weakest"]) == {0.6}
