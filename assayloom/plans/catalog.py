@@ -160,7 +160,7 @@ def _hash(t):
 @query("name_clusters")
 def _names(t):
     loose = t("curated_records").filter("inchikey is null and pubchem_cid is null and cas is null")
-    return fuzzy.cluster_names(loose.withColumn("name", F.coalesce("name_std", "name_raw")), "rec_no", "name")
+    return fuzzy.cluster_names(loose.withColumn("name", F.coalesce("name_std", "name_raw")), "rec_no", "name", exact=True)
 
 
 @query("assay_vocabulary")
