@@ -11,10 +11,11 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from html.entities import html5
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,7 @@ _INLINE = {"a", "abbr", "b", "big", "bold", "cite", "code", "em", "font", "i", "
 _DROPPED = {"ref", "xref", "img", "hr"}
 _VOID = {"br", "hr", "img", "ref"}
 _HEADS = {"h1", "h2", "h3", "h4", "h5", "h6", "title"}
+_NONE: Mapping[str, str] = {}
 _LT, _GT, _AMP = "\ue001", "\ue002", "\ue003"
 _ESC = {"<": _LT, ">": _GT}
 
@@ -200,8 +202,8 @@ def _fill(node: Node, code: list[str]) -> None:
             kid.text = re.sub("\ue010(\\d+)\ue011", lambda m: code[int(m[1])], kid.text).replace(_LT, "<").replace(_GT, ">")
 
 
-def render(node: Node, template: frozenset[str] = frozenset(), path: str = "doc") -> str:
-    """Clean text of a DOM without its template nodes."""
+def render(node: Node, template: Mapping[str, str] = _NONE, path: str = "doc") -> str:
+    """Clean text of a DOM without its template nodes: those in a slot of the template that hold its constant text."""
     out: list[str] = []
     _write(node, out, template, path)
     text = "".join(out).replace("\xa0", " ")
@@ -213,12 +215,12 @@ def render(node: Node, template: frozenset[str] = frozenset(), path: str = "doc"
 _ITEMS = re.compile(r"(?m)^((?:- |\d+\. ).*)\n\n(?=- |\d+\. )")
 
 
-def _write(node: Node, out: list[str], template: frozenset[str], path: str) -> None:
+def _write(node: Node, out: list[str], template: Mapping[str, str], path: str) -> None:
     for slot, kid in _slots(node, path):
         tag = kid.tag
         if not tag:
             out.append(kid.text)
-        elif tag in _DROPPED or slot in template:
+        elif tag in _DROPPED or (slot in template and template[slot] == _digest(kid)):
             continue
         elif tag == "br":
             out.append("\n")
@@ -253,6 +255,12 @@ def _flat(node: Node) -> str:
     return node.text + "".join(_flat(k) for k in node.kids)
 
 
+def _digest(node: Node) -> str:
+    """The text of a leaf, a long one by a digest of all of it; empty for no text and for nodes with elements, which are no constant text."""
+    text = "" if any(k.tag for k in node.kids) else _flat(node).strip()
+    return text if len(text) <= 64 else text[:33] + xxhash.xxh3_128_hexdigest(text)
+
+
 def _slots(node: Node, path: str):
     """(slot, child) of each child; a slot is the path of tags with the child's rank among its like."""
     seen: dict[str, int] = {}
@@ -261,7 +269,7 @@ def _slots(node: Node, path: str):
         yield f"{path}/{kid.tag}{k}", kid
 
 
-def clean(text: str | None, template: frozenset[str] = frozenset()) -> tuple[str, int] | None:
+def clean(text: str | None, template: Mapping[str, str] = _NONE) -> tuple[str, int] | None:
     """(clean text, number of marks)."""
     if text is None:
         return None
@@ -270,12 +278,12 @@ def clean(text: str | None, template: frozenset[str] = frozenset()) -> tuple[str
 
 
 # ---- wrapper induction -------------------------------------------------------------------------------------------------
-# A wrapper node is [tag, pages, counters, slot, kids]: `counters` are the heaviest texts of the slot (Misra-Gries, mergeable).
+# A wrapper node is [tag, pages, counters, slot, kids]: `counters` are the digests of the heaviest texts of the slot (Misra-Gries, mergeable).
 _HEAVY = 8
 
 
 def _tree(node: Node, path: str = "doc") -> list:
-    return [node.tag, 1, {} if node.kids and any(k.tag for k in node.kids) else {_flat(node).strip()[:200]: 1}, path, [_tree(k, s) for s, k in _slots(node, path) if k.tag]]
+    return [node.tag, 1, {} if node.kids and any(k.tag for k in node.kids) else {_digest(node): 1}, path, [_tree(k, s) for s, k in _slots(node, path) if k.tag]]
 
 
 def tree_match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
@@ -375,14 +383,14 @@ def induce(df: DataFrame, text: str, host: str) -> DataFrame:
     return rows.mapInPandas(_fold, _WRAPPER).groupBy("host").applyInPandas(join, _WRAPPER)
 
 
-def template_slots(wrapper: list, share: float, pages: int) -> set[str]:
-    """Slots of element nodes that stand on at least `pages` pages with one text on at least `share` of them, formulas and headings excepted."""
-    out: set[str] = set()
+def template_slots(wrapper: list, share: float, pages: int) -> dict[str, str]:
+    """Slots, each with the digest of its text, of element nodes that stand on at least `pages` pages with one text on at least `share` of them, formulas and headings excepted."""
+    out: dict[str, str] = {}
     for kid in wrapper[4]:
         top = max(kid[2].values(), default=0)
         text = max(kid[2], key=kid[2].get, default="")
         if kid[1] >= pages and kid[1] >= share * wrapper[1] and top >= share * kid[1] and text and kid[0] not in _HEADS | {"math", "td", "tr"}:
-            out.add(kid[3])
+            out[kid[3]] = text
         out |= template_slots(kid, share, pages)
     return out
 
@@ -397,12 +405,11 @@ def clean_markup(df: DataFrame, text: str, host: str, into: str = "clean", share
     by the number of rows. Empty and very long texts, unclosed marks and marks encoded several times are legal.
     """
     wrappers = induce(df, text, host).collect()
-    templates = {r["host"]: frozenset(template_slots(json.loads(r["wrapper"]), share, pages)) for r in wrappers}
-    none: frozenset[str] = frozenset()
+    templates = {r["host"]: template_slots(json.loads(r["wrapper"]), share, pages) for r in wrappers}
 
     def convert(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, hosts in parts:
-            out = [clean(t, templates.get(h, none)) for t, h in zip(texts, hosts)]
+            out = [clean(t, templates.get(h, _NONE)) for t, h in zip(texts, hosts)]
             yield pd.DataFrame(out, columns=["text", "marks"])
 
     udf = F.pandas_udf(convert, _CLEAN)
