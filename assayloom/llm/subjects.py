@@ -29,7 +29,7 @@ BITS = 18
 SMOOTH, TELLING, EVIDENCE, LEAD = 5.0, 0.45, 1.0, 1.0
 #: A sentence that recurs this often, with less than this agreement, is an aside.
 RECURS, AGREES = 8, 0.3
-#: At most this many recurring sentences can pass the threshold, which rises with the corpus.
+#: Asides that may be known to every task; beyond, documents are told theirs by a join.
 ASIDES = 200_000
 SHARE = 0.25
 
@@ -182,6 +182,20 @@ def _emit(table: dict | np.ndarray, k: int) -> pd.DataFrame:
     return pd.DataFrame({"kind": np.zeros(len(at), np.int32), "key": at.astype(np.int64), "n": table[at].sum(1), "v": pd.Series(list(table[at]), dtype=object)})
 
 
+def _with_asides(docs: DataFrame, recurring: DataFrame) -> DataFrame:
+    """Adds the asides that a document holds, null for none: its sentence keys joined to those that recur."""
+
+    def keys(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader()
+        for df in parts:
+            _, _, doc_of, of = reader.read(list(df["text"]), True)
+            yield pd.DataFrame({"of": df["id"].to_numpy()[doc_of], "aside": of}).drop_duplicates()
+
+    said = docs.select("id", "text").mapInPandas(keys, T.StructType([T.StructField("of", docs.schema["id"].dataType), T.StructField("aside", T.LongType())]))
+    held = cut(said.join(recurring, "aside", "left_semi").groupBy("of").agg(F.collect_set("aside").alias("asides")))
+    return docs.join(held, docs["id"].eqNullSafe(held["of"]), "left").drop("of")
+
+
 def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, text: str = "text", key: str = "doc_id", max_labelled: int = 20_000, seed: int = 7) -> DataFrame:
     """(`key`, subject_id): the subjects of each document; documents without any have no row.
 
@@ -237,9 +251,13 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
         yield _emit(table, k)
 
     counted = cut(_summed(docs.mapInPandas(recount, _COUNT), k))
-    total = counted.filter("kind = 1").agg(F.sum("n")).collect()[0][0] or 0.0
-    often = max(float(RECURS), total / ASIDES)
-    asides = np.sort(np.array([r[0] for r in counted.filter((F.col("kind") == 1) & (F.col("n") >= often) & (F.col("v0") < AGREES * F.col("n"))).select("key").collect()], dtype=np.int64))
+    recurring = counted.filter((F.col("kind") == 1) & (F.col("n") >= RECURS) & (F.col("v0") < AGREES * F.col("n"))).select(F.col("key").alias("aside"))
+    known = recurring.limit(ASIDES + 1).collect()
+    told = len(known) > ASIDES
+    asides = np.sort(np.array([] if told else [r[0] for r in known], dtype=np.int64))
+    if told:
+        docs = _with_asides(docs, recurring)
+        taught = docs.join(marks, "id")
     second = _matrix(counted.filter("kind = 0").collect(), k)
     model = spark.sparkContext.broadcast((term_model(first + second), asides))
 
@@ -247,6 +265,8 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
         """(sentences, evidence) by document and subject."""
         terms, sent, doc_of, keys = reader.read(list(df["text"]), True)
         odds, aside = model.value
+        if told:
+            aside = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.asarray(a, np.int64) for a in df["asides"] if a is not None)]))
         z = score(odds, terms, sent, len(doc_of))
         subject = decide(z)
         if len(aside) and len(keys):
