@@ -17,12 +17,14 @@ _CORRECTION = re.compile(r"^(?:author |publisher )?(?:correction|erratum|corrige
 _REPLY = re.compile(r"^(?:(?:a )?(?:reply|response|comment|commentary|rebuttal|letter)\b(?: (?:to|on))|re)\b", re.I)
 _PART = re.compile(r"[\s.,:;(-]*\b(?:part|pt)\.? ?(\d+|[ivx]+)\b[).\s]*$", re.I)
 _ELLIPSIS = re.compile(r"\s*(?:…|\.\.\.|\[…\]|\[\.\.\.\])\s*$")
-_WORD = re.compile(r"[a-zα-ω]+|\d+")
+_WORD = re.compile(r"[^\W\d_]+|\d+")
 
 
 @lru_cache(maxsize=1 << 15)
 def fold(text: str) -> str:
     """Lower case without diacritics."""
+    if text.isascii():
+        return text.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower().translate(_LETTERS)) if not unicodedata.combining(c)).translate(_LETTERS)
 
 
@@ -33,15 +35,15 @@ def title_key(title: str | None) -> tuple[str, str, str, bool]:
     """
     if not title:
         return "", "", "", False
-    text = re.sub(r"\s+", " ", clean(title)[0].replace("&", " and ")).strip(" \"'")
-    cut = bool(_ELLIPSIS.search(text))
-    text = fold(_ELLIPSIS.sub("", text)).strip()
+    text = " ".join(clean(title)[0].replace("&", " and ").split()).strip(" \"'")
+    cut = ("…" in text or "..." in text) and bool(_ELLIPSIS.search(text))
+    text = fold(_ELLIPSIS.sub("", text) if cut else text).strip()
     kind = ""
-    for mark, pattern in (("c", _CORRECTION), ("r", _REPLY)):
+    for mark, pattern in (("c", _CORRECTION), ("r", _REPLY)) if ":" in text or "-" in text or "–" in text or "—" in text else ():
         m = pattern.match(text)
         if m and re.match(r"\s*[:\-–—]", text[m.end() :]):
             kind, text = kind + mark, text[m.end() :].lstrip(" :-–—")
-    m = _PART.search(text)
+    m = _PART.search(text) if "pt" in text or "part" in text else None
     if m:
         kind, text = kind + m[1], text[: m.start()]
     main, _, sub = text.partition(": ")
@@ -51,13 +53,20 @@ def title_key(title: str | None) -> tuple[str, str, str, bool]:
 
 
 def _words(text: str) -> str:
+    return " ".join(filter(None, map(_piece, text.split())))
+
+
+@lru_cache(maxsize=1 << 16)
+def _piece(piece: str) -> str:
+    """The words of a piece of text without blanks, in one spelling."""
     out = []
-    for w in _WORD.findall(text):
+    for w in _WORD.findall(piece):
         w = _GREEK.get(w, w)
         out.append(_SPELLING.get(w, _ZED.sub("s", w)))
     return " ".join(out)
 
 
+@lru_cache(maxsize=1 << 16)
 def surname(author: str) -> str | None:
     """The folded family name of an author written in any of the usual orders; None for "et al." and ellipses."""
     a = author.strip()

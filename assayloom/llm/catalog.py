@@ -19,7 +19,7 @@ def _over(fn: Callable[..., DataFrame], *names: str) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "p1_found": _over(match.found, "papers"),
-        "p1_matches": _over(match.match_papers, "papers"),
+        "p1_matches": _over(match.match_works, "papers"),
         "p2_found": _over(markup.found, "papers"),
         "p2_cleaned": _over(markup.cleaned, "papers"),
         "p3_found": _over(canonical.found, "assay_rows", "curated_records", "organism_ref"),

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import lru_cache
+from typing import NamedTuple
 
 from assayloom.llm.bibkeys import edits, same_word
 
 
-@dataclass(frozen=True)
-class Record:
-    """A paper in comparable form; `preprint` tells a DOI of a preprint server from one of a journal."""
+class Record(NamedTuple):
+    """A paper in comparable form; `preprint` tells whether its DOI is of a preprint server, not of a journal."""
 
     kind: str
     main: str
@@ -20,6 +19,7 @@ class Record:
     authors: tuple[str, ...]
     year: int | None
     doi: str | None
+    preprint: bool = False
 
 
 def _segment(a: list[str], b: list[str], frequent: dict[str, int]) -> bool:
@@ -129,17 +129,13 @@ def authors_agree(a: tuple[str, ...], b: tuple[str, ...]) -> float | None:
     return hits / len(a)
 
 
-def is_preprint(doi: str) -> bool:
-    return "/pre." in doi or "/arxiv" in doi or "preprint" in doi
-
-
 def compare(a: Record, b: Record, frequent: dict[str, int]) -> tuple[float, str]:
     """(agreement from 0 to 1, reason): 0 for records that cannot be one work.
 
     Corrections, replies and numbered parts only match their like; numbers and frequent words in titles must agree, rare words
     may differ by a slip; a title may be cut or lack its subtitle; years differ by one at most.
     """
-    if a.doi and b.doi and a.doi != b.doi and not (is_preprint(a.doi) ^ is_preprint(b.doi)):
+    if a.doi and b.doi and a.doi != b.doi and a.preprint == b.preprint:
         short, long = sorted((a.doi, b.doi), key=len)
         if len(short) == len(long) or not long.startswith(short):
             return 0.0, "doi"

@@ -85,6 +85,8 @@ MAY_HAVE = (
     r"\\[A-Za-z]+\*?\{|\\item|\\[()\[\]%&_#$]|\{\\|\$\$|\$\S*[\\^_{]|\$[A-Za-z]\$"
 )
 _MAY = re.compile(MAY_HAVE)
+#: A sign that every alternative of `MAY_HAVE` needs.
+_HINT = re.compile(r"[&<`\[{\\$*_]|''|\]\(|(?:^|\n)[ \t]*[#>\-+•=|~\d]")
 
 
 def _wiki_table(body: str) -> str:
@@ -132,7 +134,7 @@ def _unescape(text: str) -> tuple[str, int]:
 def parse(text: str) -> tuple[Node, int]:
     """(DOM, number of marks). Signs with their plain meaning and line breaks make no mark."""
     root, marks = Node("doc"), 0
-    if not _MAY.search(text):
+    if not _HINT.search(text) or not _MAY.search(text):
         root.kids.append(Node("", text))
         return root, 0
     text, marks = _unescape(text)

@@ -1,15 +1,13 @@
 """Entities of several sources matched without a common key, each match with a confidence.
 
-Random walks over the graph record - attribute - token train skip-gram vectors. Record vectors (token vectors weighted by rarity,
-with character trigrams so that slips stay near) are hashed by hyperplanes in several tables for several views of a record.
-Pairs that share a bucket are compared exactly, and cosine and exact score are calibrated to a confidence on records whose DOIs
-tell the truth.
+Random walks over the graph record - attribute - token train skip-gram vectors (`walks`). Vectors of several views of a record
+are hashed by hyperplanes, one table or more per view. Pairs that share a bucket are compared exactly, and cosine and exact score
+are calibrated to a confidence on records whose DOIs tell the truth.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,28 +17,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayloom.llm.bibkeys import surnames, title_key
-from assayloom.llm.compare import Record, cannot_agree, compare, is_preprint
+from assayloom.llm.compare import Record, compare
 from assayloom.llm.survivor import doi_key
+from assayloom.llm.walks import DIM, SEED, VIEWS, Embedder, graph, skipgram, walks
 from assayloom.session import cut
 
-DIM = 64
 #: Words in at least this share of records are the vocabulary; their number is bounded by words per record over this share.
 COMMON = 0.0005
-#: Records that walks, vectors and calibration are fitted on (all of them up to there).
-SAMPLE = 8_000
-#: Tables per view, the greatest signature distance of a view that is reranked, words of a head, and records in a block of a crowded bucket.
-TABLES = {"title": 8, "lead": 2, "second": 2}
-REACH = {"title": 22, "lead": 22, "second": 22}
-HEAD, CROWD = 6, 400
+#: Records that walks and vectors are fitted on (all of them up to there), and pairs of them that confidence is calibrated on.
+SAMPLE, CALIBRATED = 8_000, 4_000
+#: The greatest signature distance that is reranked, and records in a block of a crowded bucket.
+REACH, CROWD = 22, 400
+#: Bits of a bucket up to which every view has one table; beyond, there is one table more per bit, since a pair shares a longer key less often.
+BITS = 13
 #: Crowded buckets that may be known to every task; beyond, they are told by a join.
 KNOWN_CROWDS = 100_000
-SEED = 11
+#: Registrants of preprint DOIs that may be known to every task; beyond, they are told by a join.
+KNOWN_SERVERS = 10_000
 
 _RECORD = (
     T.StructType()
     .add("id", T.LongType())
     .add("source", T.StringType())
     .add("doi", T.StringType())
+    .add("preprint", T.BooleanType())
     .add("kind", T.StringType())
     .add("main", T.StringType())
     .add("sub", T.StringType())
@@ -58,6 +58,7 @@ def _normalise(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "id": df["id"],
                 "source": df["source"],
                 "doi": df["doi"],
+                "preprint": df["preprint"],
                 "kind": [k[0] for k in keys],
                 "main": [k[1] for k in keys],
                 "sub": [k[2] for k in keys],
@@ -68,204 +69,100 @@ def _normalise(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-# ---- walks and skip-gram -----------------------------------------------------------------------------------------------
-def walks(records: list[Record], vocabulary: dict[str, int], rng: np.random.Generator, per_record: int = 2, length: int = 10) -> list[list[int]]:
-    """Token sequences of random walks record -> attribute -> token -> record ..."""
-    attributes = [[[vocabulary[w] for w in f"{r.main} {r.sub}".split() if w in vocabulary], [vocabulary[a] for a in r.authors if a in vocabulary]] for r in records]
-    holders: dict[int, list[int]] = {}
-    for i, parts in enumerate(attributes):
-        for t in {t for part in parts for t in part}:
-            holders.setdefault(t, []).append(i)
-    out = []
-    dice = rng.random((len(records) * per_record, length, 3))
-    for n in range(len(records) * per_record):
-        at, walk = n % len(records), []
-        for step in range(length):
-            a, b, c = dice[n, step]
-            title, people = attributes[at]
-            part = people if people and (a < 0.35 or not title) else title
-            if not part:
-                break
-            token = part[int(b * len(part))]
-            walk.append(token)
-            among = holders[token]
-            at = among[int(c * len(among))]
-        if len(walk) > 2:
-            out.append(walk)
-    return out
-
-
-def skipgram(sequences: list[list[int]], size: int, rng: np.random.Generator, dim: int = DIM, window: int = 3, negatives: int = 3, rate: float = 0.05) -> np.ndarray:
-    """Skip-gram vectors with negative sampling, in batches."""
-    v = (rng.random((size, dim)) - 0.5) / dim
-    u = np.zeros((size, dim))
-    pairs = [(w[i], w[j]) for w in sequences for i in range(len(w)) for j in range(max(0, i - window), min(len(w), i + window + 1)) if i != j]
-    if not pairs:
-        return v
-    pairs = np.array(pairs)
-    rng.shuffle(pairs)
-    counts = np.bincount(pairs[:, 1], minlength=size) ** 0.75
-    table = rng.choice(size, size=len(pairs) * negatives, p=counts / counts.sum()).reshape(len(pairs), negatives)
-    for s in range(0, len(pairs), 2048):
-        centre, target = pairs[s : s + 2048, 0], np.concatenate([pairs[s : s + 2048, 1:], table[s : s + 2048]], 1)
-        x, y = v[centre], u[target]
-        g = 1 / (1 + np.exp(-np.einsum("bd,bkd->bk", x, y)))
-        g[:, 0] -= 1
-        np.add.at(v, centre, -rate * np.einsum("bk,bkd->bd", g, y))
-        np.add.at(u, target.ravel(), (-rate * g[:, :, None] * x[:, None, :]).reshape(-1, dim))
-    return v
-
-
-class Embedder:
-    """Vectors of tokens and of views of records."""
-
-    def __init__(self, vectors: dict[str, np.ndarray], weight: dict[str, float], rare: float):
-        self.vectors, self.weight, self.rare = vectors, weight, rare
-        self.cache: dict[str, np.ndarray] = {}
-        self.mean = {view: np.zeros(DIM, np.float32) for view in TABLES}
-
-    def token(self, w: str) -> np.ndarray:
-        v = self.cache.get(w)
-        if v is None:
-            if len(self.cache) > 1 << 17:
-                self.cache.clear()
-            s = f"^{w}$"
-            v = np.zeros(DIM, np.float32)
-            for i in range(len(s) - 2):
-                v += _signs(s[i : i + 3])
-            v /= np.linalg.norm(v) or 1
-            if w in self.vectors:
-                v = 0.5 * self.vectors[w] + v
-            v = self.cache[w] = (v * self.weight.get(w, self.rare)).astype(np.float32)
-        return v
-
-    def view(self, r: Record, view: str) -> np.ndarray | None:
-        """The centred vector of a view: the title's main part, or its head with the first or second author."""
-        words = r.main.split()
-        if view == "title":
-            if not words:
-                return None
-            return np.sum([self.token(w) for w in words], axis=0) - self.mean[view]
-        k = 0 if view == "lead" else 1
-        if len(r.authors) <= k or len(words) < 3:
-            return None
-        return np.sum([self.token(w) for w in words[:HEAD]], axis=0) + 2 * self.token(r.authors[k]) - self.mean[view]
-
-    def centre(self, records: list[Record]) -> None:
-        for view in TABLES:
-            got = [v for r in records if (v := self.view(r, view)) is not None]
-            if got:
-                self.mean[view] = np.mean(got, axis=0).astype(np.float32)
-
-    def cosine(self, a: Record, b: Record) -> float:
-        x, y = self.view(a, "title"), self.view(b, "title")
-        if x is None or y is None:
-            return 0.0
-        return float(x @ y / ((np.linalg.norm(x) * np.linalg.norm(y)) or 1))
-
-
-@lru_cache(maxsize=1 << 16)
-def _signs(gram: str) -> np.ndarray:
-    return (np.unpackbits(np.frombuffer(xxhash.xxh64_digest(gram, seed=SEED), np.uint8)).astype(np.float32) * 2 - 1) / 8
+def with_preprints(rows: DataFrame) -> DataFrame:
+    """Adds `preprint`: whether the DOI's registrant is a server whose rows name no journal.
+
+    Of a registrant's rows (five at least) one in twenty at most may name a journal. Rows without a DOI are no preprints here.
+    """
+    if "journal" not in rows.columns:
+        return rows.withColumn("preprint", F.lit(False))
+    by = F.regexp_extract("doi", "^10[.][0-9]+", 0)
+    servers = rows.filter("doi is not null").groupBy(by.alias("by")).agg(F.count("*").alias("n"), F.count("journal").alias("named")).filter("n >= 5 and named * 20 <= n").select("by")
+    known = [r[0] for r in servers.limit(KNOWN_SERVERS + 1).collect()]
+    if len(known) <= KNOWN_SERVERS:
+        return rows.withColumn("preprint", F.coalesce(by.isin(known), F.lit(False)) if known else F.lit(False))
+    return rows.join(servers.withColumn("preprint", F.lit(True)), by == F.col("by"), "left").drop("by").withColumn("preprint", F.coalesce("preprint", F.lit(False)))
 
 
 def _record(row) -> Record:
     year = row["year"]
-    return Record(row["kind"] or "", row["main"] or "", row["sub"] or "", bool(row["cut"]), tuple(row["authors"] if row["authors"] is not None else ()), None if year is None or year != year else int(year), row["doi"])
-
-
-def _loaded(kind: str, main: str, sub: str, cut: bool, who: str, year: int, doi: str | None) -> Record:
-    return Record(kind, main, sub, cut, tuple(who.split("|")) if who else (), year or None, doi)
+    return Record(row["kind"] or "", row["main"] or "", row["sub"] or "", bool(row["cut"]), tuple(row["authors"] if row["authors"] is not None else ()), None if year is None or year != year else int(year), row["doi"], bool(row["preprint"]))
 
 
 def fit(sample: list[Record], vocabulary: dict[str, int], total: int) -> tuple[Embedder, np.ndarray]:
     """(embedder, calibration) from a bounded sample of records and the word counts of all records."""
     rng = np.random.default_rng(SEED)
-    people: dict[str, int] = {}
-    for r in sample:
-        for a in r.authors:
-            people[a] = people.get(a, 0) + 1
-    tokens = sorted(vocabulary) + sorted(a for a, n in people.items() if n > 1 and a not in vocabulary)
-    at = {t: i for i, t in enumerate(tokens)}
-    v = skipgram(walks(sample, at, rng), len(tokens), rng)
-    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+    g = graph(sample)
+    vectors = skipgram(walks(g, rng), g.tokens)
     weight = {w: float(np.log1p(total / n)) for w, n in vocabulary.items()}
     # a word outside the vocabulary is mostly a slip of one inside: it weighs what an average word does
     rare = sum(n * weight[w] for w, n in vocabulary.items()) / max(sum(vocabulary.values()), 1) or 1.0
-    embedder = Embedder({t: v[i].astype(np.float32) for t, i in at.items()}, weight, rare)
+    embedder = Embedder(vectors, weight, rare)
     embedder.centre(sample)
     return embedder, calibrate(sample, embedder, vocabulary)
 
 
 def calibrate(sample: list[Record], embedder: Embedder, vocabulary: dict[str, int]) -> np.ndarray:
-    """Logistic weights (bias, cosine, exact score): records of one DOI against records of different DOIs in a neighbourhood."""
+    """Logistic weights (bias, cosine, exact score): records of one DOI against neighbours of different DOIs.
+
+    Neighbours are records of one first author or one beginning of the title; of the pairs, each beside the next in its
+    neighbourhood, at most `CALIBRATED` of either kind are used.
+    """
     near: dict[tuple, list[Record]] = {}
     for r in sample:
         if r.doi:
-            near.setdefault(("d", r.doi), []).append(r)
-            near.setdefault(("w", *r.main.split()[:4]), []).append(r)
-            for a in r.authors[:1]:
-                near.setdefault(("a", a), []).append(r)
-    x, y = [], []
+            for key in (("d", r.doi), ("w", *r.main.split()[:4]), *(("a", a) for a in r.authors[:1])):
+                near.setdefault(key, []).append(r)
+    pairs: tuple[list, list] = ([], [])
     for key, group in near.items():
-        for i, a in enumerate(group[:12]):
-            for b in group[i + 1 : 12]:
-                same = a.doi == b.doi
-                if same != (key[0] == "d") or (not same and (is_preprint(a.doi) != is_preprint(b.doi) or len(a.doi) != len(b.doi))):
-                    continue
-                x.append((1.0, embedder.cosine(a, b), compare(_without_doi(a), _without_doi(b), vocabulary)[0]))
-                y.append(float(same))
-    if sum(y) < 5 or sum(y) == len(y):
-        return np.array([-4.0, 2.0, 6.0])
-    x, y = np.array(x), np.array(y)
-    w, prior = np.array([-4.0, 2.0, 6.0]), np.array([-4.0, 2.0, 6.0])
+        for a, b in zip(group, group[1:]):
+            same = a.doi == b.doi
+            if same == (key[0] == "d") and (same or (a.preprint == b.preprint and len(a.doi) == len(b.doi))) and len(pairs[same]) < CALIBRATED:
+                pairs[same].append((a._replace(doi=None), b._replace(doi=None)))
+    prior = np.array([-4.0, 2.0, 6.0])
+    if len(pairs[1]) < 5 or not pairs[0]:
+        return prior
+    both = pairs[0] + pairs[1]
+    x = np.stack([np.ones(len(both)), embedder.cosines([a.main for a, _ in both], [b.main for _, b in both]), [compare(a, b, vocabulary)[0] for a, b in both]], axis=1)
+    y = np.r_[np.zeros(len(pairs[0])), np.ones(len(pairs[1]))]
+    w = prior
     for _ in range(15):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         w = w + np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 0.5 * np.eye(3), x.T @ (y - p) - 0.5 * (w - prior))
     return w
 
 
-def _without_doi(r: Record) -> Record:
-    return Record(r.kind, r.main, r.sub, r.cut, r.authors, r.year, None)
-
-
 # ---- Spark -------------------------------------------------------------------------------------------------------------
-_BUCKET = T.StructType().add("key", T.LongType()).add("fine", T.LongType()).add("sign", T.LongType()).add("c", T.LongType()).add("doi", T.LongType()).add("about", T.IntegerType())
+_BUCKET = T.StructType().add("key", T.LongType()).add("sign", T.LongType()).add("c", T.LongType()).add("doi", T.LongType()).add("about", T.IntegerType())
 
 
-def _about(doi: str | None, year, view: int) -> int:
-    """What a pair must agree in, packed: view, year (0 for none), length of the DOI (0 for none), preprint."""
-    y = 0 if year is None or year != year else int(year) & 0xFFF
-    return view << 24 | y << 9 | (min(len(doi), 255) << 1 | is_preprint(doi) if doi else 0)
+def tables(bits: int) -> list[str]:
+    """The view of each hash table."""
+    views = list(VIEWS)
+    return [views[k % len(views)] for k in range(len(views) + max(0, bits - BITS))]
 
 
 def buckets(classes: DataFrame, embedder, bits: int) -> DataFrame:
-    """One row per record and table: coarse and fine bucket, 64-bit signature of the view, and what a pair must agree in."""
-    planes = {}
+    """One row per record and table: bucket, 64-bit signature of the view, and what a pair must agree in: `about` packs year
+    (0 for none), length of the DOI (0 for none) and preprint."""
     rng = np.random.default_rng(SEED + 1)
-    place = 0
-    for number, (view, tables) in enumerate(TABLES.items()):
-        planes[view] = (number, rng.standard_normal((DIM, 64)).astype(np.float32), [(place + t, rng.standard_normal((DIM, bits + 10)).astype(np.float32)) for t in range(tables)])
-        place += tables
-    powers = np.left_shift(np.int64(1), np.arange(62, dtype=np.int64))
+    signers = {view: rng.standard_normal((DIM, 64)).astype(np.float32) for view in VIEWS}
+    planes = [(k, view, rng.standard_normal((DIM, bits)).astype(np.float32)) for k, view in enumerate(tables(bits))]
+    powers = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
 
     def hash_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e: Embedder = embedder.value
         for df in parts:
-            records = [_record(r) for r in df.to_dict("records")]
             ids = df["c"].to_numpy()
-            dois = np.array([xxhash.xxh64_intdigest(r.doi) - (1 << 63) if r.doi else 0 for r in records], dtype=np.int64)
-            for view, (number, signer, tables) in planes.items():
-                got = [(i, v) for i, r in enumerate(records) if (v := e.view(r, view)) is not None]
-                if not got:
-                    continue
-                rows = np.array([i for i, _ in got])
-                m = np.stack([v for _, v in got])
-                sign = np.packbits(m @ signer > 0, axis=1).view(np.int64).ravel()
-                about = np.array([_about(records[i].doi, records[i].year, number) for i in rows], dtype=np.int32)
-                for k, h in tables:
-                    on = (m @ h > 0).astype(np.int64)
-                    yield pd.DataFrame({"key": (on[:, :bits] @ powers[:bits]) * 64 + k, "fine": on @ powers[: bits + 10], "sign": sign, "c": ids[rows], "doi": dois[rows], "about": about})
+            dois = np.array([xxhash.xxh64_intdigest(d) - (1 << 63) if d else 0 for d in df["doi"]], dtype=np.int64)
+            size = np.array([min(len(d), 255) if d else 0 for d in df["doi"]], dtype=np.int64)
+            about = (df["year"].fillna(0).to_numpy().astype(np.int64) & 0xFFF) << 9 | size << 1 | ((size > 0) & df["preprint"].to_numpy(bool))
+            seen = e.views(df["main"].tolist(), [tuple(a) for a in df["authors"]])
+            signs = {view: np.packbits(m @ signers[view] > 0, axis=1).view(np.int64).ravel() for view, (_, m) in seen.items()}
+            for k, view, h in planes:
+                if view in seen:
+                    rows, m = seen[view]
+                    yield pd.DataFrame({"key": ((m @ h > 0).astype(np.int64) @ powers) * 64 + k, "sign": signs[view], "c": ids[rows], "doi": dois[rows], "about": about[rows].astype(np.int32)})
 
     return classes.mapInPandas(hash_rows, _BUCKET)
 
@@ -291,29 +188,31 @@ def candidates(rows: DataFrame) -> DataFrame:
     side = lambda x: spread.select("key", F.col("sign").alias(f"s{x}"), F.col("c").alias(x), F.col("doi").alias(f"d{x}"), F.col("about").alias(f"t{x}"), F.col("own").alias(f"o{x}"), F.col("other").alias(f"p{x}"))
     # records of one block meet under the block's pair with itself, of two blocks under the pair of both
     pairs = side("a").join(side("b"), "key").filter("a < b and oa = pb and pa = ob")
-    reach = F.element_at(F.array(*[F.lit(REACH[v]) for v in TABLES]), F.shiftright("ta", 24) + 1)
-    near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= reach
-    year = lambda x: F.shiftright(f"t{x}", 9).bitwiseAND(0xFFF)
+    near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= REACH
+    year = lambda x: F.shiftright(f"t{x}", 9)
     years = (year("a") == 0) | (year("b") == 0) | (F.abs(year("a") - year("b")) <= 2)
     # DOIs of one length and kind that differ are two works; others are left to the exact comparison
     dois = (F.col("da") == 0) | (F.col("db") == 0) | ((F.col("da") != F.col("db")) & (F.col("ta").bitwiseAND(0x1FF) != F.col("tb").bitwiseAND(0x1FF)))
-    return pairs.filter(near & years & dois).select("a", "b").distinct()
+    return pairs.filter(years & dois & near).select("a", "b").distinct()
 
 
-def match_papers(papers: DataFrame, least: float = 0.5) -> DataFrame:
-    """(paper_row_a, paper_row_b, confidence): pairs of rows of different sources that are one work and do not carry one DOI.
+_FIELDS = ("doi", "preprint", "kind", "main", "sub", "cut", "authors", "year")
 
-    Rows without a title match nothing; missing authors, years and DOIs are legal; rows equal in every compared field are one
-    record while matching and are expanded at the end. Matches and shared DOIs link records to works; rows of a work that were not
-    matched directly pair with the confidence of its weakest link. Where links join several journal DOIs, the weakest are cut. Vectors are fitted on at most `SAMPLE` records, all rows are indexed.
+
+def matched(papers: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, links, works) of a table of papers.
+
+    `rows` has id, source, doi, c (the row's record: rows equal in every compared field are one), work and weakest (its weakest
+    link, 1 where none); `links` the matches of records a, b with their confidence; `works` the linked records c with work and
+    weakest. Rows without a title are left out.
     """
     spark = papers.sparkSession
-    raw = papers.select(F.col("paper_row").alias("id"), "source", doi_key(F.col("doi")).alias("doi"), "title", "authors", "year").filter("title is not null")
-    fields = ["doi", "kind", "main", "sub", "cut", "authors", "year"]
+    columns = [F.col("paper_row").alias("id"), "source", doi_key(F.col("doi")).alias("doi"), "title", "authors", "year", *(["journal"] if "journal" in papers.columns else [])]
+    raw = with_preprints(papers.select(*columns).filter("title is not null")).drop("journal")
     # two independent digests of all compared fields tell records apart; only they travel with a row
-    digests = [F.xxhash64(*fields).alias("h"), F.xxhash64(F.lit(SEED), *reversed(fields)).alias("g")]
-    members = cut(raw.mapInPandas(_normalise, _RECORD).filter("main <> ''").select("id", "source", *digests, *fields))
-    classes = cut(members.groupBy("h", "g", *fields).agg(F.min("id").alias("c")))
+    digests = [F.xxhash64(*_FIELDS).alias("h"), F.xxhash64(F.lit(SEED), *reversed(_FIELDS)).alias("g")]
+    members = cut(raw.mapInPandas(_normalise, _RECORD).filter("main <> ''").select("id", "source", *digests, *_FIELDS))
+    classes = cut(members.groupBy("h", "g", *_FIELDS).agg(F.min("id").alias("c")))
     total = classes.count()
     words = classes.select(F.explode(F.array_distinct(F.split(F.concat_ws(" ", "main", "sub"), " "))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     vocabulary = {r["w"]: int(r["n"]) for r in words.filter(F.col("n") >= max(4.0, COMMON * total)).collect() if r["w"]}
@@ -324,36 +223,60 @@ def match_papers(papers: DataFrame, least: float = 0.5) -> DataFrame:
     model, weights = fit(sample, vocabulary, max(total, 1))
     embedder = spark.sparkContext.broadcast(model)
     bits = min(40, max(10, int(np.ceil(np.log2(max(total, 2)))) - 2))
-    pairs = candidates(cut(buckets(classes.select("c", *fields), embedder, bits)))
-    payload = lambda x: classes.select(F.col("c").alias(x), "doi", "kind", "main", "sub", "cut", F.array_join("authors", "|").alias("who"), F.coalesce("year", F.lit(0)).alias("year")).toDF(x, *[f"{f}_{x}" for f in fields])
+    pairs = candidates(cut(buckets(classes.select("c", "doi", "preprint", "main", "authors", "year"), embedder, bits)))
+    fields = ("kind", "main", "sub", "cut", "who", "year", "doi", "preprint")
+    payload = lambda x: classes.select(F.col("c").alias(x), "kind", "main", "sub", "cut", F.array_join("authors", "|").alias("who"), F.coalesce("year", F.lit(0)).alias("year"), "doi", "preprint").toDF(x, *[f"{f}_{x}" for f in fields])
     loaded = pairs.join(payload("a"), "a").join(payload("b"), "b")
-    sides = [[f"{f}_{x}" for f in ("kind", "main", "sub", "cut", "authors", "year", "doi")] for x in "ab"]
 
     def rerank(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e: Embedder = embedder.value
         for df in parts:
             out = []
-            left, right = (zip(*[df[c].tolist() for c in side]) for side in sides)
-            for a, b, x, y in zip(df["a"].tolist(), df["b"].tolist(), left, right):
-                if cannot_agree(x[1], y[1], vocabulary):
-                    continue
-                p, q = _loaded(*x), _loaded(*y)
-                score = compare(p, q, vocabulary)[0]
-                if score:
-                    z = weights @ (1.0, e.cosine(p, q), score)
-                    out.append((a, b, float(1 / (1 + np.exp(-z)))))
-            yield pd.DataFrame(out, columns=["a", "b", "confidence"])
+            left, right = (list(zip(*[df[f"{f}_{x}"].tolist() for f in fields])) for x in "ab")
+            for i, (x, y) in enumerate(zip(left, right)):
+                a = Record(x[0], x[1], x[2], x[3], tuple(x[4].split("|")) if x[4] else (), x[5] or None, x[6], x[7])
+                b = Record(y[0], y[1], y[2], y[3], tuple(y[4].split("|")) if y[4] else (), y[5] or None, y[6], y[7])
+                if score := compare(a, b, vocabulary)[0]:
+                    out.append((i, score))
+            at = [i for i, _ in out]
+            cosine = e.cosines([left[i][1] for i in at], [right[i][1] for i in at])
+            z = weights[0] + weights[1] * cosine + weights[2] * np.array([s for _, s in out], dtype=float)
+            yield pd.DataFrame({"a": df["a"].to_numpy()[at], "b": df["b"].to_numpy()[at], "confidence": 1 / (1 + np.exp(-z))})
 
     found = cut(loaded.mapInPandas(rerank, "a long, b long, confidence double").filter(F.col("confidence") >= least))
     named = classes.filter("doi is not null").groupBy("doi").agg(F.min("c").alias("b"))
-    carried = classes.filter("doi is not null").join(named, "doi").filter("c <> b").select(F.col("c").alias("a"), "b", F.lit(1.0).alias("confidence"))
+    carried = classes.filter("doi is not null").select("doi", "c").join(named, "doi").filter("c <> b").select(F.col("c").alias("a"), "b", F.lit(1.0).alias("confidence"))
     works = parted(found, carried, classes)
     rows = members.select("id", "source", "doi", "h", "g").join(classes.select("h", "g", "c"), ["h", "g"]).drop("h", "g")
     rows = cut(rows.join(works, "c", "left").select("id", "source", "doi", "c", F.coalesce("work", "c").alias("work"), F.coalesce("weakest", F.lit(1.0)).alias("weakest")))
+    return rows, found, works
+
+
+def match_works(papers: DataFrame, least: float = 0.5) -> DataFrame:
+    """(paper_row, work_row, confidence, n_rows): the work of each row by its smallest row, the confidence of the work's weakest
+    link and its number of rows; a row that matches none is a work of its own. Rows without a title have null in all but the first."""
+    rows = matched(papers, least)[0]
+    works = rows.groupBy("work").agg(F.min("id").alias("work_row"), F.count("*").alias("n_rows"))
+    known = rows.join(works, "work").select("id", "work_row", F.col("weakest").alias("confidence"), "n_rows")
+    return papers.select(F.col("paper_row").alias("id")).join(known, "id", "left").select(F.col("id").alias("paper_row"), "work_row", "confidence", "n_rows")
+
+
+def match_papers(papers: DataFrame, least: float = 0.5, confidence: bool = True) -> DataFrame:
+    """(paper_row_a, paper_row_b, confidence): pairs of rows of different sources that are one work and do not carry one DOI.
+
+    Rows without a title match nothing; missing authors, years and DOIs are legal; rows equal in every compared field are one
+    record while matching and are expanded at the end. Matches and shared DOIs link records to works; rows of a work that were not
+    matched directly pair with the confidence of its weakest link. Where links join several journal DOIs, the weakest are cut.
+    Vectors are fitted on at most `SAMPLE` records, all rows are indexed.
+    """
+    rows, found, works = matched(papers, least)
     one = lambda x: rows.select("work", F.col("c").alias(f"c{x}"), F.col("id").alias(f"i{x}"), F.col("source").alias(f"s{x}"), F.col("doi").alias(f"d{x}"), F.col("weakest").alias(f"w{x}"))
     pair = "not (sa <=> sb) and not coalesce(da = db, false)"
     pairs = one("a").join(one("b"), "work").filter(f"ia < ib and {pair}").withColumn("a", F.least("ca", "cb")).withColumn("b", F.greatest("ca", "cb"))
-    closed = pairs.join(found, ["a", "b"], "left").select("ia", "ib", F.coalesce("confidence", F.when(F.col("a") == F.col("b"), 1.0), F.col("wa")).alias("confidence"))
+    if confidence:
+        closed = pairs.join(found, ["a", "b"], "left").select("ia", "ib", F.coalesce("confidence", F.when(F.col("a") == F.col("b"), 1.0), F.col("wa")).alias("confidence"))
+    else:
+        closed = pairs.select("ia", "ib", F.col("wa").alias("confidence"))
     # matches between two parts of a component count for themselves
     label = lambda x: works.select(F.col("c").alias(x), F.col("work").alias(f"p{x}"))
     across = found.join(label("a"), "a").join(label("b"), "b").filter("pa <> pb").select(F.col("a").alias("ca"), F.col("b").alias("cb"), "confidence")
@@ -364,31 +287,48 @@ def match_papers(papers: DataFrame, least: float = 0.5) -> DataFrame:
 _PART = T.StructType().add("c", T.LongType()).add("work", T.LongType()).add("weakest", T.DoubleType())
 
 
-def split_work(edges: pd.DataFrame) -> pd.DataFrame:
-    """(c, work, weakest) of a component's parts. Links join records from the strongest on, shared DOIs before all; a link that
-    would bring together two journal DOIs, neither of them the other one cut short, is left out."""
-    edges = edges.sort_values(["carried", "confidence", "a", "b"], ascending=[False, False, True, True])
+def split_work(edges: list[tuple]) -> list[tuple[int, int, float]]:
+    """(c, work, weakest) of the parts of a component with links (a, b, confidence, carried, journal DOI of a, of b).
+
+    Links join records from the strongest on, shared DOIs before all; a link that would bring together two journal DOIs, neither
+    of them the other one cut short, is left out.
+    """
+    edges = sorted(edges, key=lambda e: (not e[3], -e[2], e[0], e[1]))
     up: dict[int, int] = {}
     doi: dict[int, str] = {}
-    for c, d in zip([*edges["a"], *edges["b"]], [*edges["da"], *edges["db"]]):
-        up[c] = c
-        doi[c] = d if d and not is_preprint(d) else ""
+    for a, b, _, _, x, y in edges:
+        up[a], up[b] = a, b
+        doi[a], doi[b] = x or "", y or ""
 
     def top(c: int) -> int:
         while up[c] != c:
             up[c] = c = up[up[c]]
         return c
 
-    for a, b in zip(edges["a"], edges["b"]):
+    for a, b, *_ in edges:
         x, y = sorted((top(a), top(b)))
         short, long = sorted((doi[x], doi[y]), key=len)
         if x != y and long.startswith(short):
             up[y], doi[x] = x, long  # the DOIs of a part are beginnings of its longest
     weakest: dict[int, float] = {}
-    for a, b, w in zip(edges["a"], edges["b"], edges["confidence"]):
+    for a, b, w, *_ in edges:
         if top(a) == top(b):
             weakest[top(a)] = min(w, weakest.get(top(a), 1.0))
-    return pd.DataFrame({"c": list(up), "work": [top(c) for c in up], "weakest": [weakest.get(top(c), 1.0) for c in up]})
+    return [(c, top(c), weakest.get(top(c), 1.0)) for c in up]
+
+
+def _split_works(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """`split_work` of each run of rows of one component."""
+    whole, held, out = None, [], []
+    for df in parts:
+        for row in zip(*[df[c].tolist() for c in ("whole", "a", "b", "confidence", "carried", "ja", "jb")]):
+            if row[0] != whole:
+                out += split_work(held)
+                whole, held = row[0], []
+            held.append(row[1:])
+        yield pd.DataFrame(out, columns=_PART.names)
+        out = []
+    yield pd.DataFrame(split_work(held), columns=_PART.names)
 
 
 def parted(found: DataFrame, carried: DataFrame, classes: DataFrame) -> DataFrame:
@@ -398,16 +338,16 @@ def parted(found: DataFrame, carried: DataFrame, classes: DataFrame) -> DataFram
     """
     edges = found.select("a", "b", "confidence", F.lit(False).alias("carried")).unionByName(carried.select("a", "b", "confidence", F.lit(True).alias("carried")))
     works = cut(components(edges))
-    doi = classes.select("c", "doi")
-    journal = F.when(~(F.col("doi").contains("/pre.") | F.col("doi").contains("/arxiv") | F.col("doi").contains("preprint")), F.col("doi"))
-    mixed = works.join(doi, "c").groupBy("work").agg(F.min(journal).alias("x"), F.max(journal).alias("y")).filter("x <> y").select("work")
-    members = cut(works.join(mixed, "work", "left_semi").join(doi, "c").select("c", "work", "doi"))
-    links = edges.join(members.toDF("a", "whole", "da"), "a").join(members.select(F.col("c").alias("b"), F.col("doi").alias("db")), "b")
-    parts = links.groupBy("whole").applyInPandas(split_work, _PART)
+    journal = classes.select("c", F.when(~F.col("preprint"), F.col("doi")).alias("journal"))
+    known = cut(works.join(journal, "c"))
+    mixed = known.groupBy("work").agg(F.min("journal").alias("x"), F.max("journal").alias("y")).filter("x <> y").select("work")
+    members = cut(known.join(mixed, "work", "left_semi").select("c", "work", "journal"))
+    links = edges.join(members.toDF("a", "whole", "ja"), "a").join(members.select(F.col("c").alias("b"), F.col("journal").alias("jb")), "b")
+    parts = links.repartition("whole").sortWithinPartitions("whole").mapInPandas(_split_works, _PART)
     return cut(works.join(members, "c", "left_anti").select("c", "work", "weakest").unionByName(parts))
 
 
-def components(edges: DataFrame, rounds: int = 20) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(c, work, weakest): the smallest node each node is linked to over any number of links, and the weakest link of its work.
 
     Labels spread to neighbours and are then replaced by their label's label, so the rounds grow with the logarithm of the longest
@@ -415,7 +355,7 @@ def components(edges: DataFrame, rounds: int = 20) -> DataFrame:
     """
     links = cut(edges.select("a", "b", "confidence").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "confidence")))
     labels = cut(links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), F.least("a", "m").alias("work")))
-    for _ in range(rounds):
+    while True:
         heard = links.join(labels, F.col("b") == F.col("c")).groupBy("a").agg(F.min("work").alias("m"))
         spread = labels.join(heard, F.col("c") == F.col("a")).select("c", F.least("work", "m").alias("work"), F.col("work").alias("was"))
         up = labels.select(F.col("c").alias("p"), F.col("work").alias("q"))
@@ -429,4 +369,4 @@ def components(edges: DataFrame, rounds: int = 20) -> DataFrame:
 
 def found(papers: DataFrame) -> DataFrame:
     """Pairs that are one work: paper_row_a, paper_row_b."""
-    return match_papers(papers).select("paper_row_a", "paper_row_b")
+    return match_papers(papers, confidence=False).select("paper_row_a", "paper_row_b")

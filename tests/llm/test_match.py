@@ -9,7 +9,9 @@ import pytest
 
 from assayloom.llm.bibkeys import edits, same_word, surname, surnames, title_key
 from assayloom.llm.compare import Record, authors_agree, compare, words_agree
-from assayloom.llm.match import components, match_papers, skipgram, walks
+from assayloom.llm import walks as vectors
+from assayloom.llm.match import components, match_papers, match_works, with_preprints
+from assayloom.llm.walks import Embedder, companions, graph, skipgram, walks
 
 SCHEMA = "paper_row long, source string, doi string, title string, authors array<string>, year int"
 
@@ -40,8 +42,8 @@ def test_words():
     assert words_agree("study of phe", "study of phenyl salts", often, prefix=True)[0]
 
 
-def rec(main, kind="", sub="", cut=False, authors=("a",), year=2020, doi=None):
-    return Record(kind, main, sub, cut, tuple(authors), year, doi)
+def rec(main, kind="", sub="", cut=False, authors=("a",), year=2020, doi=None, preprint=False):
+    return Record(kind, main, sub, cut, tuple(authors), year, doi, preprint)
 
 
 def test_compare():
@@ -50,7 +52,7 @@ def test_compare():
     assert compare(rec(t), rec(t, kind="2"), {})[1] == "kind" and compare(rec(t), rec(t, year=2024), {})[1] == "year"
     assert compare(rec(t), rec(t, authors=("z",)), {})[1] == "authors"
     assert compare(rec(t, doi="10.1/a.11111111"), rec(t, doi="10.1/a.22222222"), {})[1] == "doi"
-    assert compare(rec(t, doi="10.1/a.11111111"), rec(t, doi="10.1/pre.22222222"), {})[0] > 0
+    assert compare(rec(t, doi="10.1/a.11111111"), rec(t, doi="10.2/22222222", preprint=True), {})[0] > 0
     assert compare(rec(t, doi="10.1/a.111"), rec(t, doi="10.1/a.11111111"), {})[0] > 0
     assert compare(rec(t), rec("green structural study of 4 al", cut=True), {})[0] > 0
     assert compare(rec(t, sub="one"), rec(t, sub="another thing"), {})[0] == 0
@@ -60,11 +62,44 @@ def test_compare():
 
 def test_skipgram_brings_companions_together():
     rng = np.random.default_rng(0)
-    seqs = [[int(x) for x in rng.choice([0, 1, 2], 8)] for _ in range(200)] + [[int(x) for x in rng.choice([3, 4, 5], 8)] for _ in range(200)]
-    v = skipgram(seqs, 6, rng, dim=16)
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    assert v[0] @ v[1] > v[0] @ v[4]
-    assert walks([rec("a b"), rec("b c")], {"a": 0, "b": 1, "c": 2}, rng) and walks([], {}, rng) == []
+    walked = np.concatenate([rng.choice([0, 1, 2], (200, 8)), rng.choice([3, 4, 5], (200, 8))])
+    tokens = ["quince", "plum", "vexed", "dogma", "sphinx", "jackal"]
+    v = skipgram(walked, tokens, rate=0.2, epochs=20)
+    x = [np.sum([v[g] for g in vectors.grams(t)], axis=0) for t in tokens]
+    x = [y / np.linalg.norm(y) for y in x]
+    raw = [np.sum([vectors.untrained(g) for g in vectors.grams(t)], axis=0) for t in tokens]
+    raw = [y / np.linalg.norm(y) for y in raw]
+    assert x[0] @ x[1] > raw[0] @ raw[1] and x[0] @ x[1] > x[0] @ x[4]
+    assert skipgram(np.full((0, 8), -1), []) == {} and companions(np.array([[0, 1, -1]]), 2, 2).tolist() == [[0, 1], [1, 0]]
+
+
+def test_walks_pass_through_every_attribute():
+    records = [rec("alpha", authors=("muard",), year=2001, doi="10.1/a"), rec("beta", authors=("muard",), year=2002), rec("gamma", authors=(), year=2002), rec("delta", authors=(), year=None, doi="10.1/a"), rec("", authors=(), year=None)]
+    g = graph(records)
+    got = walks(g, np.random.default_rng(1), per_record=40)
+    assert {g.tokens[t] for t in set(got[got >= 0])} == {"alpha", "beta", "gamma", "delta", "muard", "year 2001", "year 2002", "doi 10.1/a"}
+    assert (got[4] == -1).all() and (got[:4] >= 0).all() and len(walks(graph([]), np.random.default_rng(1))) == 0
+
+
+def test_views_of_equal_stretches_are_equal():
+    e = Embedder({}, {}, 1.0)
+    mains = ["one two three four five six seven eight nine ten eleven", "one two three four five six seven eight nine twelve", "one", ""]
+    got = e.views(mains, [("muard", "kelrud"), ("muard",), (), ()])
+    assert got["title"][0].tolist() == [0, 1, 2] and got["second"][0].tolist() == [0]
+    assert (got["head"][1][0] == got["head"][1][1]).all() and (got["lead"][1][0] == got["lead"][1][1]).all()
+    assert e.cosines(["a b", ""], ["a b", "c"]).round(6).tolist() == [1.0, 0.0] and len(e.cosines([], [])) == 0
+
+
+def test_zero_vectors_find_nothing_but_copies(spark, monkeypatch):
+    df = spark.createDataFrame(papers(), SCHEMA)
+    monkeypatch.setattr("assayloom.llm.match.skipgram", lambda walked, tokens: {g: np.zeros(vectors.DIM, np.float32) for t in tokens for g in vectors.grams(t)})
+    assert match_papers(df).count() == 4  # rows equal in every compared field
+
+
+def test_preprint_servers_name_no_journal(spark):
+    rows = [("10.5/a", None)] * 6 + [("10.6/b", "J")] * 6 + [("10.7/c", None)] + [(None, None)]
+    got = with_preprints(spark.createDataFrame(rows, "doi string, journal string")).filter("preprint").select("doi").distinct().collect()
+    assert [r[0] for r in got] == ["10.5/a"]
 
 
 def test_components_against_union_find(spark):
@@ -104,7 +139,9 @@ def test_match_papers(spark):
     got = {(r["paper_row_a"], r["paper_row_b"]) for r in match_papers(df.drop("confidence")).collect()}
     want = {(a, b) for k in range(4) for a in range(3 * k + 1, 3 * k + 4) for b in range(a + 1, 3 * k + 4)} | {(2, 103), (3, 103)}
     assert got == want
+    works = {r["paper_row"]: (r["work_row"], r["n_rows"]) for r in match_works(df.drop("confidence")).collect()}
+    assert works[2] == (1, 4) and works[103] == (1, 4) and works[100] == (100, 1) and works[101] == (None, None)
 
 
 def test_match_nothing(spark):
-    assert match_papers(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert match_papers(spark.createDataFrame([], SCHEMA)).count() == 0 and match_works(spark.createDataFrame([], SCHEMA)).count() == 0
