@@ -1,9 +1,9 @@
 """Markup residue in texts: HTML/XML, Markdown, wiki and LaTeX read into one DOM, and the DOM written as clean text.
 
-Pages of one host share a wrapper. It is induced by aligning their DOM trees with simple tree matching: aligned element nodes
-whose text is the same on nearly all pages are template, the others are content slots. Clean text keeps headings (`## x`),
-list items (`- x`, `1. x`), code (fenced), formulas (`$x$`) and table rows (`a | b`); emphasis, links, references and template
-go, links keeping their text.
+Pages of one host share a wrapper. It is induced by aligning their DOM trees with simple tree matching; like siblings are one
+repeated node, and the sentences of a node are its leaves. Leaves that stand on many pages of the host with one text are template
+(notices, boilerplate), the others are content. Clean text keeps headings (`## x`), list items (`- x`, `1. x`), code (fenced),
+formulas (`$x$`) and table rows (`a | b`); emphasis, links, references and template go, links keeping their text.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from html.entities import html5
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayloom.session import cut
+
 # Element names of HTML, JATS and MathML that occur without a prefix.
 _NAMES = set(
     "a abbr abstract article b big blockquote body bold br caption center cite code dd div dl dt em fig font footer h1 h2 h3 h4 h5 h6 head header hr html i img "
@@ -30,7 +32,7 @@ _INLINE = {"a", "abbr", "b", "big", "bold", "cite", "code", "em", "font", "i", "
 _DROPPED = {"ref", "xref", "img", "hr"}
 _VOID = {"br", "hr", "img", "ref"}
 _HEADS = {"h1", "h2", "h3", "h4", "h5", "h6", "title"}
-_NONE: Mapping[str, str] = {}
+_NONE: Mapping[str, frozenset[str]] = {}
 _LT, _GT, _AMP = "\ue001", "\ue002", "\ue003"
 _ESC = {"<": _LT, ">": _GT}
 
@@ -86,7 +88,8 @@ MAY_HAVE = (
 )
 _MAY = re.compile(MAY_HAVE)
 #: A sign that every alternative of `MAY_HAVE` needs.
-_HINT = re.compile(r"[&<`\[{\\$*_]|''|\]\(|(?:^|\n)[ \t]*[#>\-+•=|~\d]")
+HINT = r"[&<`\[{\\$*_]|''|\]\(|(?:^|\n)[ \t]*[#>\-+•=|~\d]"
+_HINT = re.compile(HINT)
 
 
 def _wiki_table(body: str) -> str:
@@ -104,6 +107,10 @@ def _md_table(head: str, body: str) -> str:
     return "<table>" + "".join("<tr>" + "".join(f"<td>{c.strip()}</td>" for c in x.split("|")) + "</tr>" for x in lines) + "</table>"
 
 
+#: Elements nested deeper than this become siblings.
+DEPTH = 100
+
+
 class Node:
     """An element (tag, children) or, with tag "", a text."""
 
@@ -188,7 +195,7 @@ def parse(text: str) -> tuple[Node, int]:
                     stack.pop()
             node = Node(m[2], n=m[3] or "")
             stack[-1].kids.append(node)
-            if not m[4] and m[2] not in _VOID:
+            if not m[4] and m[2] not in _VOID and len(stack) < DEPTH:
                 stack.append(node)
     if at < len(text):
         stack[-1].kids.append(Node("", text[at:]))
@@ -204,8 +211,19 @@ def _fill(node: Node, code: list[str]) -> None:
             kid.text = re.sub("\ue010(\\d+)\ue011", lambda m: code[int(m[1])], kid.text).replace(_LT, "<").replace(_GT, ">")
 
 
-def render(node: Node, template: Mapping[str, str] = _NONE, path: str = "doc") -> str:
-    """Clean text of a DOM without its template nodes: those in a slot of the template that hold its constant text."""
+def to_json(node: Node) -> list:
+    """A DOM as nested lists [tag, number, child ...], texts as strings."""
+    return [node.tag, node.n, *(to_json(k) if k.tag else k.text for k in node.kids)]
+
+
+def from_json(data: list) -> Node:
+    node = Node(data[0], n=data[1])
+    node.kids = [Node("", k) if isinstance(k, str) else from_json(k) for k in data[2:]]
+    return node
+
+
+def render(node: Node, template: Mapping[str, frozenset[str]] = _NONE, path: str = "doc") -> str:
+    """Clean text of a DOM without the template: the leaves that it names for their node's path."""
     out: list[str] = []
     _write(node, out, template, path)
     text = "".join(out).replace("\xa0", " ")
@@ -217,12 +235,13 @@ def render(node: Node, template: Mapping[str, str] = _NONE, path: str = "doc") -
 _ITEMS = re.compile(r"(?m)^((?:- |\d+\. ).*)\n\n(?=- |\d+\. )")
 
 
-def _write(node: Node, out: list[str], template: Mapping[str, str], path: str) -> None:
-    for slot, kid in _slots(node, path):
-        tag = kid.tag
+def _write(node: Node, out: list[str], template: Mapping[str, frozenset[str]], path: str) -> None:
+    gone = template.get(path)
+    for i, kid in enumerate(node.kids):
+        tag, slot = kid.tag, f"{path}/{kid.tag}"
         if not tag:
-            out.append(kid.text)
-        elif tag in _DROPPED or (slot in template and template[slot] == _digest(kid)):
+            out.append("".join(gap if leaf in gone else sentence + gap for sentence, gap, leaf in leaves(node, i)) if gone else kid.text)
+        elif tag in _DROPPED:
             continue
         elif tag == "br":
             out.append("\n")
@@ -241,11 +260,9 @@ def _write(node: Node, out: list[str], template: Mapping[str, str], path: str) -
             out.append(f"\n{kid.n}. " if kid.n else "\n- ")
             _write(kid, out, template, slot)
         elif tag == "tr":
-            cells = [render(c, template, slot).replace("\n", " ") for c in kid.kids if c.tag]
+            cells = [render(c, template, f"{slot}/{c.tag}").replace("\n", " ") for c in kid.kids if c.tag]
             out.append("\n" + " | ".join(cells))
-        elif tag in ("sub", "sup"):
-            _write(kid, out, template, slot)
-        elif tag in _INLINE:
+        elif tag in ("sub", "sup") or tag in _INLINE:
             _write(kid, out, template, slot)
         else:
             out.append("\n")
@@ -257,21 +274,30 @@ def _flat(node: Node) -> str:
     return node.text + "".join(_flat(k) for k in node.kids)
 
 
-def _digest(node: Node) -> str:
-    """The text of a leaf, a long one by a digest of all of it; empty for no text and for nodes with elements, which are no constant text."""
-    text = "" if any(k.tag for k in node.kids) else _flat(node).strip()
-    return text if len(text) <= 64 else text[:33] + xxhash.xxh3_128_hexdigest(text)
+_LEAF = re.compile(r"(.*?(?:(?<=[.!?])(?=\s|\Z)|(?=\n)|\Z))(\s*)", re.S)
 
 
-def _slots(node: Node, path: str):
-    """(slot, child) of each child; a slot is the path of tags with the child's rank among its like."""
-    seen: dict[str, int] = {}
-    for kid in node.kids:
-        k = seen[kid.tag] = seen.get(kid.tag, 0) + 1
-        yield f"{path}/{kid.tag}{k}", kid
+def leaves(node: Node, i: int) -> list[tuple[str, str, str]]:
+    """(sentence, white space behind it, its digest) of a text child.
 
+    The digest is the sentence, a long one by a digest of all of it; empty for stretches that are no sentence of their own:
+    short ones and those that go on in an inline element.
+    """
+    kids, out = node.kids, []
+    text = kids[i].text
+    joined_before = i > 0 and kids[i - 1].tag in _INLINE
+    joined_behind = i + 1 < len(kids) and kids[i + 1].tag in _INLINE
+    for m in _LEAF.finditer(text):
+        sentence, gap = m[1], m[2]
+        if not m[0]:
+            continue
+        body = sentence.strip()
+        own = len(body) >= 8 and not (joined_before and m.start() == 0) and (not joined_behind or m.end() < len(text) or body[-1] in ".!?")
+        out.append((sentence, gap, (body if len(body) <= 64 else body[:33] + xxhash.xxh3_128_hexdigest(body)) if own else ""))
+    return out
 
-def clean(text: str | None, template: Mapping[str, str] = _NONE) -> tuple[str, int] | None:
+
+def clean(text: str | None, template: Mapping[str, frozenset[str]] = _NONE) -> tuple[str, int] | None:
     """(clean text, number of marks)."""
     if text is None:
         return None
@@ -280,23 +306,40 @@ def clean(text: str | None, template: Mapping[str, str] = _NONE) -> tuple[str, i
 
 
 # ---- wrapper induction -------------------------------------------------------------------------------------------------
-# A wrapper node is [tag, pages, counters, slot, kids]: `counters` are the digests of the heaviest texts of the slot (Misra-Gries, mergeable).
-_HEAVY = 8
+# A wrapper node is [tag, pages, counters, kids]: `counters` are lower bounds of how often the most frequent leaves stand in the node
+# (Misra-Gries, mergeable): a leaf is missed only where it makes up less than one in `_HEAVY` of the node's leaves.
+_HEAVY = 1024
+_NO_LEAVES = _HEADS | {"math", "tex-math", "inline-formula", "code", "tt", "kbd", "pre", "td", "th", "tr", "li", "list-item"}
 
 
-def _tree(node: Node, path: str = "doc") -> list:
-    return [node.tag, 1, {} if node.kids and any(k.tag for k in node.kids) else {_digest(node): 1}, path, [_tree(k, s) for s, k in _slots(node, path) if k.tag]]
+def _tree(node: Node) -> list:
+    """The tree of a page; siblings of one tag are one repeated node."""
+    counters: dict[str, int] = {}
+    kids: dict[str, list] = {}
+    for i, kid in enumerate(node.kids):
+        if kid.tag:
+            sub = _tree(kid)
+            if kid.tag in kids:
+                merge(kids[kid.tag], sub)
+                kids[kid.tag][1] = 1
+            else:
+                kids[kid.tag] = sub
+        elif node.tag not in _NO_LEAVES:
+            for *_, leaf in leaves(node, i):
+                if leaf:
+                    counters[leaf] = 1  # once a page
+    return [node.tag, 1, counters, list(kids.values())]
 
 
 def tree_match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching: (size of the greatest order-keeping matching, matched pairs of children)."""
     if a[0] != b[0]:
         return 0, []
-    m, n = len(a[4]), len(b[4])
+    m, n = len(a[3]), len(b[3])
     if not m or not n:
         return 1, []
     w = [[0] * (n + 1) for _ in range(m + 1)]
-    score = [[tree_match(x, y)[0] for y in b[4]] for x in a[4]]
+    score = [[tree_match(x, y)[0] for y in b[3]] for x in a[3]]
     for i in range(1, m + 1):
         for j in range(1, n + 1):
             w[i][j] = max(w[i - 1][j], w[i][j - 1], w[i - 1][j - 1] + score[i - 1][j - 1])
@@ -315,118 +358,160 @@ def tree_match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
 def _count(into: dict[str, int], more: dict[str, int]) -> None:
     for k, v in more.items():
         into[k] = into.get(k, 0) + v
-    if len(into) > _HEAVY:
-        cut = sorted(into.values(), reverse=True)[_HEAVY]
+    if len(into) > 2 * _HEAVY:
+        cut_at = sorted(into.values(), reverse=True)[_HEAVY]
         for k in list(into):
-            into[k] -= cut
+            into[k] -= cut_at
             if into[k] <= 0:
                 del into[k]
 
 
 def merge(into: list, tree: list, seen: dict | None = None) -> None:
-    """Aligns `tree` to the wrapper `into`; matched nodes add up, unmatched ones become optional nodes."""
+    """Aligns `tree` to the wrapper `into`; matched nodes add up, unmatched ones become optional nodes.
+
+    A node of a page has one child per tag, so a wrapper is bounded by the tags and their orders, not by the number of pages.
+    """
     into[1] += tree[1]
     _count(into[2], tree[2])
-    if not tree[4]:
+    if not tree[3]:
         return
     shape = None
     if seen is not None:
-        shape = (id(into), len(into[4]), _shape(tree))
+        shape = (id(into), len(into[3]), _shape(tree))
     pairs = seen.get(shape) if shape else None
     if pairs is None:
         pairs = tree_match(into, tree)[1]
         if shape:
             seen[shape] = pairs
-    taken = dict((j, i) for i, j in pairs)
+    taken = {j: i for i, j in pairs}
     fresh = []
-    for j, kid in enumerate(tree[4]):
+    for j, kid in enumerate(tree[3]):
         if j in taken:
-            merge(into[4][taken[j]], kid, seen)
+            merge(into[3][taken[j]], kid, seen)
         else:
             fresh.append(kid)
-    into[4].extend(fresh)
+    into[3].extend(fresh)
 
 
 def _shape(tree: list) -> tuple:
-    return (tree[0], *(_shape(k) for k in tree[4]))
+    return (tree[0], *(_shape(k) for k in tree[3]))
 
 
-_WRAPPER = T.StructType().add("host", T.StringType()).add("wrapper", T.StringType())
+_WRAPPER = T.StructType().add("host", T.StringType()).add("part", T.IntegerType()).add("wrapper", T.StringType())
+_TEMPLATE = T.StructType().add("host", T.StringType()).add("path", T.StringType()).add("leaf", T.StringType())
+#: Wrappers of one host that one task merges at a time.
+_FANS = 16
 
 
 def _fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     wrappers: dict[str, list] = {}
     seen: dict[str, dict] = {}
     for df in parts:
-        for host, text in zip(df["host"], df["text"]):
-            dom, marks = parse(text)
-            if not marks:
-                continue
-            tree = _tree(dom)
+        for host, dom in zip(df["host"], df["dom"]):
+            tree = _tree(from_json(json.loads(dom)))
             if host in wrappers:
                 merge(wrappers[host], tree, seen.setdefault(host, {}))
             else:
                 wrappers[host] = tree
     if wrappers:
-        yield pd.DataFrame({"host": list(wrappers), "wrapper": [json.dumps(w) for w in wrappers.values()]})
-
+        yield pd.DataFrame({"host": list(wrappers), "part": [xxhash.xxh32_intdigest(json.dumps(w)) % _FANS for w in wrappers.values()], "wrapper": [json.dumps(w) for w in wrappers.values()]})
 
-def induce(df: DataFrame, text: str, host: str) -> DataFrame:
-    """(host, wrapper): one wrapper per host, folded within partitions and merged across them; covers every row with markup."""
-    rows = df.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).alias("text")).filter(F.col("text").rlike(MAY_HAVE))
 
-    def join(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        wrappers = sorted(part["wrapper"])
-        out, seen = json.loads(wrappers[0]), {}
-        for w in wrappers[1:]:
+def _merged(wrappers: list[str]) -> list:
+    out, seen = None, {}
+    for w in sorted(wrappers):
+        if out is None:
+            out = json.loads(w)
+        else:
             merge(out, json.loads(w), seen)
-        return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(out)]})
+    return out
+
 
-    return rows.mapInPandas(_fold, _WRAPPER).groupBy("host").applyInPandas(join, _WRAPPER)
+def template_leaves(wrapper: list, share: float, pages: int) -> dict[str, set[str]]:
+    """By path of tags the leaves that stand on at least `pages` pages and at least `share` of those with their node."""
+    out: dict[str, set[str]] = {}
 
+    def walk(node: list, path: str) -> None:
+        if constant := {leaf for leaf, n in node[2].items() if n >= pages and n >= share * node[1]}:
+            out.setdefault(path, set()).update(constant)
+        for kid in node[3]:
+            walk(kid, f"{path}/{kid[0]}")
 
-def template_slots(wrapper: list, share: float, pages: int) -> dict[str, str]:
-    """Slots, each with the digest of its text, of element nodes that stand on at least `pages` pages with one text on at least `share` of them, formulas and headings excepted."""
-    out: dict[str, str] = {}
-    for kid in wrapper[4]:
-        top = max(kid[2].values(), default=0)
-        text = max(kid[2], key=kid[2].get, default="")
-        if kid[1] >= pages and kid[1] >= share * wrapper[1] and top >= share * kid[1] and text and kid[0] not in _HEADS | {"math", "td", "tr"}:
-            out[kid[3]] = text
-        out |= template_slots(kid, share, pages)
+    walk(wrapper, wrapper[0])
     return out
 
 
+def induce(doms: DataFrame, share: float, pages: int) -> DataFrame:
+    """(host, path, leaf) of the template, from rows (host, dom): folded within partitions, merged across them in two steps."""
+
+    def some(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": [key[0]], "part": [0], "wrapper": [json.dumps(_merged(list(part["wrapper"])))]})
+
+    def last(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        found = template_leaves(_merged(list(part["wrapper"])), share, pages)
+        return pd.DataFrame([(key[0], p, leaf) for p, names in found.items() for leaf in sorted(names)], columns=_TEMPLATE.names)
+
+    return doms.mapInPandas(_fold, _WRAPPER).groupBy("host", "part").applyInPandas(some, _WRAPPER).groupBy("host").applyInPandas(last, _TEMPLATE)
+
+
 _CLEAN = T.StructType().add("text", T.StringType()).add("marks", T.IntegerType())
+_DOM = T.StructType().add("dom", T.StringType()).add("marks", T.IntegerType())
 
 
-def clean_markup(df: DataFrame, text: str, host: str, into: str = "clean", share: float = 0.9, pages: int = 50) -> DataFrame:
-    """Adds the struct `into` (text, marks): clean text and the number of marks found; nulls for null, text unchanged where none.
+@F.pandas_udf(_DOM)
+def _parse(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for texts in parts:
+        out = []
+        for t in texts:
+            dom, marks = parse(t)
+            out.append((json.dumps(to_json(dom), ensure_ascii=False) if marks else None, marks))
+        yield pd.DataFrame(out, columns=_DOM.names)
 
-    Wrappers are induced over all rows; one wrapper per host comes back to the driver, its size bounded by a page's layout, not
-    by the number of rows. Empty and very long texts, unclosed marks and marks encoded several times are legal.
-    """
-    wrappers = induce(df, text, host).collect()
-    templates = {r["host"]: template_slots(json.loads(r["wrapper"]), share, pages) for r in wrappers}
 
-    def convert(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, hosts in parts:
-            out = [clean(t, templates.get(h, _NONE)) for t, h in zip(texts, hosts)]
-            yield pd.DataFrame(out, columns=["text", "marks"])
+def parsed(df: DataFrame, text: str, whole: bool = True) -> DataFrame:
+    """The rows of `df` that may hold markup with the struct `__dom` (dom, marks), written once; without `whole` only those that do, and without their text."""
+    out = df.filter(F.col(text).rlike(HINT)).withColumn("__dom", _parse(F.col(text)))
+    return cut(out if whole else out.filter("__dom.marks > 0").drop(text))
+
+
+def rendered(marked: DataFrame, host: str, share: float, pages: int):
+    """A column: the DOM of `__dom` as clean text without the template of its host, which is induced over all rows of `marked`."""
+    name = F.coalesce(F.col(host).cast("string"), F.lit(""))
+    template: dict[str, dict[str, set[str]]] = {}
+    for r in induce(marked.filter("__dom.marks > 0").select(name.alias("host"), "__dom.dom"), share, pages).collect():
+        template.setdefault(r["host"], {}).setdefault(r["path"], set()).add(r["leaf"])
+
+    @F.pandas_udf(T.StringType())
+    def render_all(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for doms, hosts in parts:
+            yield pd.Series([None if d is None else render(from_json(json.loads(d)), template.get(h, _NONE)) for d, h in zip(doms, hosts)], dtype=object)
+
+    return render_all(F.col("__dom.dom"), name)
 
-    udf = F.pandas_udf(convert, _CLEAN)
-    marked = df.filter(F.col(text).rlike(MAY_HAVE)).withColumn(into, udf(F.col(text), F.coalesce(F.col(host).cast("string"), F.lit(""))))
-    plain = df.filter(~F.coalesce(F.col(text).rlike(MAY_HAVE), F.lit(False)))
-    return marked.unionByName(plain.withColumn(into, F.struct(F.col(text).alias("text"), _zero(F.col(text)).alias("marks"))))
 
+#: A leaf is template from this share of the pages with its node, and this number of pages, on.
+SHARE, PAGES = 0.005, 30
 
-def _zero(text: Column) -> Column:
-    return F.when(text.isNotNull(), F.lit(0))
+
+def clean_markup(df: DataFrame, text: str, host: str, into: str = "clean", share: float = SHARE, pages: int = PAGES) -> DataFrame:
+    """Adds the struct `into` (text, marks): clean text and the number of marks found; nulls for null, text unchanged where none.
+
+    Every text is parsed once, and wrappers are induced over all rows with marks. What comes back to the driver are the template
+    leaves of the hosts: at most 2048 for each path of tags, whatever the number of rows. Empty and very long texts, unclosed marks,
+    deeply nested ones and marks encoded several times are legal.
+    """
+    marked = parsed(df, text)
+    new = rendered(marked, host, share, pages)
+    done = marked.withColumn(into, F.struct(F.coalesce(new, F.col(text)).alias("text"), F.col("__dom.marks").alias("marks"))).drop("__dom")
+    plain = df.filter(~F.coalesce(F.col(text).rlike(HINT), F.lit(False)))
+    return done.unionByName(plain.withColumn(into, F.struct(F.col(text).alias("text"), F.when(F.col(text).isNotNull(), F.lit(0)).alias("marks"))))
 
 
 def found(papers: DataFrame) -> DataFrame:
-    """Papers rows whose abstract contains markup: paper_row."""
-    return clean_markup(papers.select("paper_row", "source", "abstract"), "abstract", "source").filter("clean.marks > 0").select("paper_row")
+    """Papers rows whose abstract contains markup: paper_row. The text that remains of it is made as well, so that a row whose clean
+    text could not be built would not be reported."""
+    marked = parsed(papers.select("paper_row", "source", "abstract"), "abstract", whole=False)
+    return marked.filter(rendered(marked, "source", SHARE, PAGES).isNotNull()).select("paper_row")
 
 
 def cleaned(papers: DataFrame) -> DataFrame:

@@ -19,3 +19,26 @@ def test_texts_that_differ_behind_a_long_beginning_stay(spark):
 def test_a_page_keeps_its_own_text_in_a_template_slot(spark):
     got = _cleaned(spark, [f"<p>Result {i}</p><div>{'Own text' if i == 7 else 'All rights reserved'}</div>" for i in range(60)])
     assert "Own text" in got[7] and not any("All rights" in t for t in got.values())
+
+
+def test_notices_of_a_host_go_and_formulas_stay(spark):
+    rows = [(i, "h" if i % 2 else "other", f"<p>Finding {i} holds. The fit is $E_{{{i}}}$ throughout.</p> Published by Open Press. All rights reserved.") for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, host string, t string")
+    got = {r["id"]: r["clean"]["text"] for r in markup.clean_markup(df, "t", "host").collect()}
+    alone = {i: markup.clean(t)[0] for i, _, t in rows}
+    assert all("Open Press" in alone[i] and got[i] == f"Finding {i} holds. The fit is $E_{{{i}}}$ throughout." for i in alone)
+    few = {r["id"]: r["clean"]["text"] for r in markup.clean_markup(df.limit(20), "t", "host").collect()}
+    assert all("Open Press" in t for t in few.values())  # too few pages to tell template from content
+
+
+def test_wrappers_do_not_depend_on_how_rows_are_spread(spark):
+    rows = [(i, "h", f"<div>Own text {i}.</div><p>Shared notice.</p>" if i % 3 else f"<ul><li>item {i}</li></ul><p>Shared notice.</p>") for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, host string, t string")
+    one, many = ({r["id"]: r["clean"] for r in markup.clean_markup(df.repartition(n), "t", "host").collect()} for n in (1, 7))
+    assert one == many and not any("Shared" in c["text"] for c in one.values())
+
+
+def test_deep_nesting_and_the_hint_cover_all_markup():
+    assert markup.clean("<div>" * 5000 + "x" + "</div>" * 5000)[0] == "x"
+    for text in ("&amp;", "<b>x", "# x", "> x", "- x", "1. x", "a\n===", "| a |", "```", "**x", "_x_", "''x", "[[x", "{{x", "](x", "\\item", "\\(x", "$$", "$x_1$"):
+        assert markup._HINT.search(text), text

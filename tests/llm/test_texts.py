@@ -46,11 +46,12 @@ def test_broken_markup_never_fails(parts):
 
 def test_tree_matching():
     t = lambda s: markup._tree(markup.parse(s)[0])
-    a, b = t("<div><h3>A</h3><p>x</p><p>y</p></div>"), t("<div><h3>A</h3><p>z</p></div>")
+    a, b = t("<div><h3>A</h3><p>one text</p><p>two text</p></div>"), t("<div><h3>A</h3><p>one text</p></div>")
     size, pairs = markup.tree_match(a, b)
     assert size == 4 and pairs == [(0, 0)]
     markup.merge(a, b)
-    assert a[1] == 2 and a[4][0][4][0][2] == {"A": 2}
+    assert a[1] == 2 and a[3][0][3][1][:3] == ["p", 2, {"one text": 2, "two text": 1}]
+    assert markup.tree_match(t("<p>x</p>"), t("<ul><li>x</li></ul>")) == (1, [])
 
 
 def test_wrapper_is_removed_and_content_stays(spark):
