@@ -36,8 +36,8 @@ def _unit_in_evidence(evidence: str | None, value: str):
     while v and at >= 0:
         end = at + len(v)
         if (at == 0 or not (evidence[at - 1].isdigit() or evidence[at - 1] in ".,")) and not evidence[end : end + 1].isdigit():
-            tail = evidence[end : end + 40]
-            unit = parse_unit(_CLAUSE.split(tail, maxsplit=1)[0])
+            stop = _CLAUSE.search(evidence, end)
+            unit = parse_unit(evidence[end : stop.start() if stop else len(evidence)])
             if unit:
                 return unit
         at = evidence.find(v, at + 1)
