@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 
 from assayloom.functions.bktree import BKTree
 from assayloom.functions.glyphs import consistent
+from assayloom.session import cut
 
 UNMATCHED = -1
+#: Distinct values that one task searches in one shard.
+BLOCK = 50_000
 Entry = tuple[str, int]  # spelling, id
 
 # Words that begin a strain designation, and words that name no species.
@@ -169,21 +172,24 @@ def map_to_list(
 
         return df.withColumn(into, F.pandas_udf(narrow, T.LongType())(F.col(value)))
 
-    blocks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
-    distinct = df.select(F.col(value).alias("v")).filter("v is not null").distinct()
+    distinct = cut(df.select(F.col(value).alias("v")).filter("v is not null").distinct())
+    blocks = max(1, -(-distinct.count() // BLOCK))
     asked = distinct.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    held = listed.withColumn("shard", F.pmod(F.xxhash64("entry"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    # an entry keeps its spellings together; a spelling of several entries is marked as such in every shard that holds it
+    double = listed.groupBy("spelling").agg(F.min("entry").alias("x"), F.max("entry").alias("y")).filter("x <> y").select("spelling")
+    own = F.pmod(F.xxhash64("entry"), F.lit(shards)).cast("int")
+    sharded = listed.withColumn("shard", own)
+    sharded = sharded.unionByName(sharded.join(double, "spelling", "left_semi").withColumn("entry", F.lit(UNMATCHED).cast("long")))
+    held = sharded.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def search(values: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         matcher = Matcher(zip(part["spelling"], part["entry"]), limit)
         hits = [(v, h) for v in values["v"] if (h := matcher.best(key(v)))]
-        return pd.DataFrame({"v": [v for v, _ in hits], **{n: [h[k] for _, h in hits] for k, n in enumerate(_HIT.names)}})
+        return pd.DataFrame({"v": pd.Series([v for v, _ in hits], dtype=object), **{n: pd.Series([h[k] for _, h in hits], dtype="int64") for k, n in enumerate(_HIT.names)}})
 
     schema = T.StructType([T.StructField("v", T.StringType()), *_HIT.fields])
     hits = asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInPandas(search, schema)
-    exact = F.when((F.col("stage") == 0) & (F.col("distance") == 0), F.col("entry"))
-    won = hits.groupBy("v").agg(F.min(F.struct(*_HIT.names)).alias("hit"), F.count_distinct(exact).alias("same"))
-    won = won.select(F.col("v").alias("__v"), F.when(F.col("same") > 1, UNMATCHED).otherwise(F.col("hit.entry")).cast("long").alias("__entry"))
+    won = hits.groupBy(F.col("v").alias("__v")).agg(F.min(F.struct(*_HIT.names)).alias("hit")).select("__v", F.col("hit.entry").alias("__entry"))
     joined = df.join(won, F.col(value) == F.col("__v"), "left")
     return joined.withColumn(into, F.when(F.col(value).isNotNull(), F.coalesce("__entry", F.lit(UNMATCHED).cast("long")))).drop("__v", "__entry")
 
