@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,3 +38,21 @@ def token_count(text: Column, path: str = RANKS) -> Column:
             yield pd.Series([len(enc.encode_ordinary(t)) for t in texts], dtype="int64")
 
     return F.pandas_udf(count, T.LongType())(F.coalesce(text, F.lit("")))
+
+
+_SPLIT = T.StructType().add("total", T.LongType()).add("prompt", T.LongType())
+
+
+def prompt_count(text: Column, parted: str, path: str = RANKS) -> Column:
+    """(total, prompt): tokens of a text read whole, and of its prompt, which ends with the first match of `parted`; 0 where none."""
+    mark = re.compile(parted)
+
+    def count(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enc = encoding(path)
+        for texts in parts:
+            cuts = [m.end() if (m := mark.search(t)) else 0 for t in texts]
+            prompt = [len(enc.encode_ordinary(t[:c])) if c else 0 for t, c in zip(texts, cuts)]
+            total = [len(enc.encode_ordinary(t)) for t in texts]
+            yield pd.DataFrame({"total": total, "prompt": [min(p, n) for p, n in zip(prompt, total)]}, dtype="int64")
+
+    return F.pandas_udf(count, _SPLIT)(F.coalesce(text, F.lit("")))
