@@ -1,7 +1,8 @@
 """Documents drawn from several sources so that each source holds its target share of all tokens.
 
 Token weights of (source, language, topic) cells are raked to the marginals of source, language and topic by iterative
-proportional fitting, with every weight at most the source's number of repeats. A document is then drawn as often as its cell's
+proportional fitting, with every weight at most the source's number of repeats. Languages and topics are to keep the shares they
+have in all documents, or get given ones, so that drawing more from a source does not shift them. A document is then drawn as often as its cell's
 weight says: the whole part always, the rest with calibrated probability, by systematic sampling within blocks of a source.
 """
 
@@ -20,22 +21,25 @@ from assayloom.session import cut
 
 #: Documents that one task samples at a time.
 BLOCK = 50_000
+#: Share of the largest possible size that is drawn; less leaves the other margins more choice.
+ROOM = 1.0
 _DRAW = T.StructType().add("mix_id", T.IntegerType()).add("source", T.StringType()).add("doc_id", T.LongType()).add("tokens", T.LongType()).add("copies", T.LongType())
 
 
-def rake(tokens: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], cap: np.ndarray, source: np.ndarray, share: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float]:
+def rake(tokens: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], cap: np.ndarray, source: np.ndarray, share: np.ndarray, rounds: int = 200, room: float = 1.0) -> tuple[np.ndarray, float]:
     """(weight of each cell, total size): source shares exact, other margins as near as caps allow.
 
     `margins` are (group of each cell, target share of each group) in the order they are fitted; `source` and `share` are fitted
-    last in every round. The size is the largest at which no source needs more than its cap.
+    last in every round. The size is `room` times the largest at which no source needs more than its cap; at 1 the scarcest source
+    is used up and its cells have no choice.
     """
     held = np.bincount(source, weights=tokens, minlength=len(share))
-    room = np.bincount(source, weights=tokens * cap, minlength=len(share))
+    most = np.bincount(source, weights=tokens * cap, minlength=len(share))
     wanted = (share > 0) & (held > 0)
     if not wanted.any():
         return np.zeros(len(tokens)), 0.0
     share = np.where(wanted, share, 0) / share[wanted].sum()
-    size = float((room[wanted] / share[wanted]).min())
+    size = room * float((most[wanted] / share[wanted]).min())
     target = share * size
     w = np.where(share[source] > 0, 1.0, 0.0)
 
@@ -77,11 +81,13 @@ def _draw(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"mix_id": df["mix_id"].astype("int32"), "source": df["source"], "doc_id": df["doc_id"], "tokens": df["tokens"], "copies": df["copies"]})
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, topics: DataFrame | None = None, text: str = "text", tokenizer: str = RANKS, block: int = BLOCK) -> DataFrame:
+def mix_sources(documents: DataFrame, targets: DataFrame, topics: DataFrame | None = None, text: str = "text", tokenizer: str = RANKS, block: int = BLOCK, langs: dict[str, float] | None = None, subjects: dict[int, float] | None = None, room: float = ROOM) -> DataFrame:
     """(mix_id, source, doc_id, tokens, copies): the documents drawn for each mix, copies at least 1 and at most max_repeats.
 
-    The size of a mix is the largest that its sources can supply without passing max_repeats. Language and topic marginals are
-    those of the mix's sources taken at their target shares; documents without a language or topic form a group of their own.
+    The size of a mix is `room` of the largest that its sources can supply without passing max_repeats. `langs` and `subjects` give
+    target shares of languages and topics (scaled to 1, what is not named gets none); without them both keep the shares they have
+    in all documents of the targets' sources. Source shares are met exactly, the others as near as sources and repeats allow.
+    Documents without a language or topic form a group of their own ("" and 0), a document of several topics counts under the first.
     Documents without tokens or of no source are never drawn; a source of a mix without documents leaves its share to the others.
     Sources are sampled in blocks of bounded size, so no task holds a source.
     """
@@ -94,6 +100,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, topics: DataFrame | No
     else:
         sized = sized.withColumn("topic", F.lit(0))
     sized = cut(sized)
+    # as many rows as sources of the targets x languages x topics, whatever the number of documents
     cells = sized.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).toPandas()
     rows, counts = [], {}
     for mix in sorted({g["mix_id"] for g in goals}):
@@ -106,14 +113,14 @@ def mix_sources(documents: DataFrame, targets: DataFrame, topics: DataFrame | No
         share = np.array([float(mine[s]["target_share"] or 0) for s in names])
         cap = np.array([float(mine[s]["max_repeats"] or 0) for s in names])[source]
         tokens = c["tokens"].to_numpy(float)
-        held = np.bincount(source, weights=tokens, minlength=len(names))
-        natural = tokens * (share / np.maximum(held, 1))[source]
         margins = []
-        for column in ("lang", "topic"):
-            group, labels = pd.factorize(c[column])
-            goal = np.bincount(group, weights=natural, minlength=len(labels))
-            margins.append((group, goal / goal.sum()))
-        w, _ = rake(tokens, margins, cap, source, share)
+        for column, given in (("lang", langs), ("topic", subjects)):
+            group, values = pd.factorize(c[column])
+            whole = cells.groupby(column)["tokens"].sum()
+            goal = np.array([float((given or {}).get(v, 0)) if given is not None else float(whole[v]) for v in values])
+            if goal.sum() > 0:
+                margins.append((group, goal / goal.sum()))
+        w, _ = rake(tokens, margins, cap, source, share, room=room)
         rows += [(int(mix), s, g, int(t), float(x)) for s, g, t, x in zip(c["source"], c["lang"], c["topic"], w) if x > 0]
         for s, n in c.groupby("source")["n"].sum().items():
             counts[s] = int(n)
