@@ -5,8 +5,8 @@
    sentences, and counts for every recurring sentence how often the rest of its document agrees with it. Sentences that recur
    in documents of any subject are notices and asides.
 3. A classifier chain (one logistic model per subject, seeing the labels decided before it) is fitted to the labelled documents.
-4. Every document is decoded by beam search over label combinations; a decoded subject must be carried by a quarter of the
-   document's subject-bearing sentences.
+4. Every document is decoded by beam search over label combinations. That a quarter of the subject-bearing sentences are about a
+   subject is a feature; the chain may strike out a subject beyond it and add one that falls short of it by little.
 """
 
 from __future__ import annotations
@@ -31,8 +31,13 @@ SMOOTH, TELLING, EVIDENCE, LEAD = 5.0, 0.45, 1.0, 1.0
 RECURS, AGREES = 8, 0.3
 #: Asides that may be known to every task; beyond, documents are told theirs by a join.
 ASIDES = 200_000
-SHARE = 0.25
+#: A subject is decided from `SHARE` of the sentences on; the chain may add one from `NEAR` on, where features and other subjects speak for it.
+SHARE, NEAR = 0.25, 0.2
+#: Terms (words and pairs of words) up to which a sentence counts as a heading.
+HEADING = 9
 
+#: A word's term is its stem of so many letters; a longer word is a term as a whole, too.
+STEM = 12
 _HYPHEN = re.compile(r"(\w)-[ \t]*\n[ \t]*(\w)")
 _WRAP = re.compile(r"(?<!\n)\n(?!\s*\n)")
 _SENTENCE = re.compile(r"(?<=[.!?])(?<!\(no\.)\s+(?=\S)|\n\s*\n")
@@ -58,17 +63,22 @@ class Reader:
         if h is None:
             if len(self.words) > 1 << 18:
                 self.words.clear()
-            h = self.words[w] = xxhash.xxh32_intdigest(w.lower()[:12])
+            h = self.words[w] = xxhash.xxh32_intdigest(w.lower()[:STEM])
         return h
 
     def read(self, texts: list[str], keys: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(term buckets, sentence of each term, document of each sentence, key of each sentence)."""
+        """(term buckets of stems, of pairs of stems and of long words, sentence of each term, document of each sentence, key of each sentence)."""
         word, ids, sent_len, doc_of, sent_keys = self.word, [], [], [], []
+        whole, whole_of = [], []
         for d, text in enumerate(texts):
             for s in sentences(text or ""):
-                ws = [word(w) for w in _WORD.findall(s)]
-                ids.extend(ws)
-                sent_len.append(len(ws))
+                words = _WORD.findall(s)
+                ids.extend(map(word, words))
+                for w in words:
+                    if len(w) > STEM:
+                        whole.append(xxhash.xxh32_intdigest(w.lower()))
+                        whole_of.append(len(sent_len))
+                sent_len.append(len(words))
                 doc_of.append(d)
                 if keys:
                     sent_keys.append(xxhash.xxh64_intdigest(_NUMBER.sub("0", s)) - (1 << 63))
@@ -77,8 +87,8 @@ class Reader:
         sent = np.repeat(np.arange(len(n)), n)
         pair = (w[:-1] * np.uint32(0x9E3779B1)) ^ w[1:] if len(w) > 1 else np.zeros(0, np.uint32)
         within = sent[:-1] == sent[1:] if len(w) > 1 else np.zeros(0, bool)
-        terms = np.concatenate([w, pair[within]]) & _MASK
-        return terms.astype(np.int64), np.concatenate([sent, sent[:-1][within] if len(w) > 1 else sent[:0]]), np.array(doc_of, dtype=np.int64), np.array(sent_keys, dtype=np.int64)
+        terms = np.concatenate([w, pair[within], np.array(whole, dtype=np.uint32)]) & _MASK
+        return terms.astype(np.int64), np.concatenate([sent, sent[:-1][within] if len(w) > 1 else sent[:0], np.array(whole_of, dtype=np.int64)]), np.array(doc_of, dtype=np.int64), np.array(sent_keys, dtype=np.int64)
 
 
 def term_model(counts: np.ndarray) -> np.ndarray:
@@ -109,6 +119,12 @@ def decide(z: np.ndarray) -> np.ndarray:
     return np.where((two[:, 1] > EVIDENCE) & (two[:, 1] - two[:, 0] > LEAD), z.argmax(1), -1)
 
 
+def gather(table: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+    """Adds the weights of each term's sentence to the term's row."""
+    for j in range(table.shape[1]):
+        table[:, j] += np.bincount(terms, weights=weights[:, j], minlength=len(table))
+
+
 def tally(subject: np.ndarray, doc_of: np.ndarray, docs: int, k: int) -> np.ndarray:
     """Sentences by document and subject."""
     on = subject >= 0
@@ -116,13 +132,21 @@ def tally(subject: np.ndarray, doc_of: np.ndarray, docs: int, k: int) -> np.ndar
 
 
 # ---- classifier chain --------------------------------------------------------------------------------------------------
-def features(counts: np.ndarray, evidence: np.ndarray, source_odds: np.ndarray) -> np.ndarray:
-    """(documents, subjects, features): share, its side of a quarter alone and among others, evidence, length, rank, source."""
+def features(counts: np.ndarray, evidence: np.ndarray, source_odds: np.ndarray, structure: np.ndarray) -> np.ndarray:
+    """(documents, subjects, features): share, its side of a quarter alone and among others, evidence, length, rank, source, and
+    the document's structure (`structure`: sentences, words, headings) beside the side of a quarter."""
     n = counts.sum(1, keepdims=True)
     share = counts / np.maximum(n, 1)
     over = (share >= SHARE).astype(np.float32)
     rank = (counts[:, None, :] > counts[:, :, None]).sum(2)
-    return np.stack([np.ones_like(share), over, np.clip((share - SHARE) * 8, -2, 2), np.log1p(counts), over * np.log1p(n), over * over.sum(1, keepdims=True), over * (over.sum(1, keepdims=True) >= 3), np.tanh(evidence / 20), (rank == 0) * 1.0, source_odds], axis=2).astype(np.float32)
+    return np.stack([np.ones_like(share), over, np.clip((share - SHARE) * 8, -2, 2), np.log1p(counts), over * np.log1p(n), over * over.sum(1, keepdims=True), over * (over.sum(1, keepdims=True) >= 3), np.tanh(evidence / 20), (rank == 0) * 1.0, source_odds, *_structure(structure, n, over)], axis=2).astype(np.float32)
+
+
+def _structure(structure: np.ndarray, bearing: np.ndarray, over: np.ndarray) -> list[np.ndarray]:
+    """Share of sentences that bear a subject, words a sentence, and headings a sentence, each where a subject is over a quarter and where not."""
+    total = np.maximum(structure[:, :1], 1)
+    told = [bearing / total, np.log1p(structure[:, 1:2] / total) / 4, structure[:, 2:3] / total]
+    return [x * side for x in told for side in (over, 1 - over)]
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -218,7 +242,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
             for i, ys in enumerate(df["ys"]):
                 y[i, [at[s] for s in ys]] = 1 / len(ys)
             terms, sent, doc_of, _ = reader.read(list(df["text"]), False)
-            np.add.at(table, terms, y[doc_of[sent]])
+            gather(table, terms, y[doc_of[sent]])
         yield _emit(table, k)
 
     first = _matrix(_summed(taught.mapInPandas(teach, _COUNT), k).collect(), k)
@@ -242,8 +266,8 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
             w = np.log(mix) + np.clip(z, -3, 3)
             w = np.exp(w - w.max(1, keepdims=True))
             w /= w.sum(1, keepdims=True)
-            w[~known & ~on] = 0
-            np.add.at(table, terms, w[sent])
+            told = (known | on)[sent]
+            gather(table, terms[told], w[sent[told]])
             seen = on & known
             agree = (others.argmax(1) == subject) * 1.0
             part = pd.DataFrame({"key": keys[seen], "n": 1.0, "a": agree[seen]}).groupby("key", as_index=False).sum()
@@ -261,8 +285,8 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
     second = _matrix(counted.filter("kind = 0").collect(), k)
     model = spark.sparkContext.broadcast((term_model(first + second), asides))
 
-    def measure(reader: Reader, df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """(sentences, evidence) by document and subject."""
+    def measure(reader: Reader, df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sentences, evidence) by document and subject, and the structure of each document."""
         terms, sent, doc_of, keys = reader.read(list(df["text"]), True)
         odds, aside = model.value
         if told:
@@ -276,15 +300,17 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
         on = subject >= 0
         evidence = np.zeros((len(df), k), np.float32)
         np.add.at(evidence, (doc_of[on], subject[on]), z[np.flatnonzero(on), subject[on]])
-        return counts, evidence
+        words = np.bincount(sent, minlength=len(doc_of))
+        one = lambda w=None: np.bincount(doc_of, weights=w, minlength=len(df))
+        return counts, evidence, np.stack([one(), one(words), one(words <= HEADING)], axis=1).astype(np.float32)
 
-    flat = T.StructType().add("source", T.StringType()).add("ys", T.ArrayType(T.IntegerType())).add("c", T.ArrayType(T.FloatType())).add("e", T.ArrayType(T.FloatType()))
+    flat = T.StructType().add("source", T.StringType()).add("ys", T.ArrayType(T.IntegerType())).add("c", T.ArrayType(T.FloatType())).add("e", T.ArrayType(T.FloatType())).add("s", T.ArrayType(T.FloatType()))
 
     def sample(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader()
         for df in parts:
-            counts, evidence = measure(reader, df)
-            yield pd.DataFrame({"source": df["source"], "ys": df["ys"], "c": pd.Series(list(counts), dtype=object), "e": pd.Series(list(evidence), dtype=object)})
+            counts, evidence, structure = measure(reader, df)
+            yield pd.DataFrame({"source": df["source"], "ys": df["ys"], **{n: pd.Series(list(x), dtype=object) for n, x in zip("ces", (counts, evidence, structure))}})
 
     rows = taught.mapInPandas(sample, flat).collect()
     y = np.array([[1.0 if s in set(r["ys"]) else 0.0 for s in ids] for r in rows]).reshape(len(rows), k)
@@ -294,7 +320,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
         by.setdefault(r["source"], []).append(i)
     odds_of = {s: np.log(((y[i].sum(0) + 20 * base + 0.1) / (len(i) + 20)) / (base + 0.005)) for s, i in by.items()}
     if rows:
-        x = features(np.array([r["c"] for r in rows]), np.array([r["e"] for r in rows]), np.array([odds_of[r["source"]] for r in rows]))
+        x = features(np.array([r["c"] for r in rows]), np.array([r["e"] for r in rows]), np.array([odds_of[r["source"]] for r in rows]), np.array([r["s"] for r in rows]))
         chain = fit_chain(x, y)
     else:
         chain = []
@@ -302,10 +328,10 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
     def decode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader, none = Reader(), np.zeros(k)
         for df in parts:
-            counts, evidence = measure(reader, df)
+            counts, evidence, structure = measure(reader, df)
             odds = np.array([odds_of.get(s, none) for s in df["source"]]).reshape(len(df), k)
-            carried = counts >= np.maximum(SHARE * counts.sum(1, keepdims=True), 1)
-            d, s = np.nonzero(beam(chain, features(counts, evidence, odds), carried)) if chain else (np.zeros(0, int), np.zeros(0, int))
+            near = counts >= np.maximum(NEAR * counts.sum(1, keepdims=True), 1)
+            d, s = np.nonzero(beam(chain, features(counts, evidence, odds, structure), near)) if chain else (np.zeros(0, int), np.zeros(0, int))
             yield pd.DataFrame({"id": df["id"].to_numpy()[d], "subject_id": np.array(ids, dtype=np.int32)[s]})
 
     return docs.mapInPandas(decode, T.StructType([T.StructField("id", documents.schema[key].dataType), T.StructField("subject_id", T.IntegerType())])).select(F.col("id").alias(key), "subject_id")

@@ -9,6 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from assayloom.llm import mixing, packing, subjects
 
 WORDS = {1: "agar broth culture plating colony inhibition", 2: "magnet coil remanence annealing coercivity domain", 3: "statute court licence appeal patent clause"}
@@ -127,6 +129,39 @@ def test_rake_meets_sources_and_caps():
     assert size == 0 and not w.any()
 
 
+def test_rake_meets_all_margins_where_scaling_does_not():
+    rng = np.random.default_rng(1)
+    source, lang, topic = (x.ravel() for x in np.meshgrid(range(5), range(4), range(12), indexing="ij"))
+    tokens = rng.lognormal(8, 1.5, len(source)).round()
+    share, cap = np.array([0.3, 0.1, 0.25, 0.2, 0.15]), np.array([1, 4, 2, 3, 2.0])[source]
+    margins = [(g, np.bincount(g, weights=tokens) / tokens.sum()) for g in (lang, topic)]
+    got = lambda w, g: np.bincount(g, weights=w * tokens) / (w * tokens).sum()
+    plain, _ = mixing.rake(tokens, [], cap, source, share)
+    w, _ = mixing.rake(tokens, margins, cap, source, share)
+    assert all(np.abs(got(w, g) - goal).max() < 1e-3 for g, goal in [*margins, (source, share)]) and (w <= cap + 1e-9).all()
+    assert all(np.abs(got(plain, g) - goal).max() > 1e-2 for g, goal in margins) and np.abs(w - plain).max() > 0.1
+
+
+def test_given_language_shares_are_reached(spark):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(i, rng.choice("ab"), "en" if rng.random() < 0.8 else "de", "word " * rng.randint(1, 9)) for i in range(2000)], "doc_id long, source string, lang string, text string")
+    targets = spark.createDataFrame([(1, "a", 0.5, 4), (1, "b", 0.5, 4)], "mix_id int, source string, target_share double, max_repeats int")
+    drawn = mixing.mix_sources(df, targets, langs={"en": 0.6, "de": 0.4}, room=0.5).join(df.select("doc_id", "lang"), "doc_id")
+    tokens = {r[0]: r[1] for r in drawn.groupBy("lang").agg(F.sum(F.col("tokens") * F.col("copies"))).collect()}
+    assert abs(tokens["de"] / sum(tokens.values()) - 0.4) < 0.01
+
+
+def test_loss_limit_binds(spark):
+    df = spark.createDataFrame([(i, ("ask me now " * 20 + "\n\n" if i % 2 else "") + "answer given " * 40) for i in range(200)], "doc_id long, text string")
+    specs = spark.createDataFrame([(1, 400)], "spec_id int, capacity_tokens int")
+    full = {}
+    for share in (1.0, 0.6):
+        got = packing.pack_documents(df, specs, loss_share=share).groupBy("container_id").agg(F.sum("n_tokens").alias("n"), F.sum("n_loss").alias("loss"), F.count("*").alias("k")).collect()
+        assert all(r["n"] <= 400 and r["loss"] <= 400 * share for r in got) and sum(r["k"] for r in got) == 200
+        full[share] = max(r["loss"] for r in got)
+    assert full[1.0] > 240 >= full[0.6]
+
+
 def test_mix_sources(spark):
     rng = random.Random(4)
     docs = [(i, rng.choice(["a", "a", "a", "b", "c"]), rng.choice(["en", "de", None]), "word " * rng.randint(1, 60)) for i in range(600)] + [(1000, None, "en", "x"), (1001, "a", "en", ""), (1002, "a", "en", None)]

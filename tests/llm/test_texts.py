@@ -123,6 +123,31 @@ def test_shared_digests_are_told_apart(spark):
     assert got == {(1, 3), (2, 4)}
 
 
+def test_skyline_differs_from_a_maximum_per_field(spark):
+    # row 1 is fuller, row 2 newer with a link, row 3 newest but bare: the base is the fullest undominated record, its gaps are filled
+    rows = [
+        (1, "crossref", "10.1234/a", "Whole text here.", 5, None, None, "T one", ["A"], None, "J", "2024-01-01"),
+        (2, "pubmed", "10.1234/a", None, None, "https://x.org/a.pdf", None, "T two", ["A"], 2020, None, "2024-02-01"),
+        (3, "core", "10.1234/a", None, None, None, None, "T three", None, None, None, "2024-03-01"),
+        (4, "core", "10.1234/b", None, None, None, None, None, None, None, None, None), (5, None, "10.1234/b", None, -1, None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "paper_row long, source string, doi string, abstract string, citation_count int, pdf_url string, extra string, title string, authors array<string>, year int, journal string, at string")
+    got = {r["group_row"]: r for r in survivor.records(df.withColumn("retrieved_at", F.col("at").cast("timestamp_ntz"))).collect()}
+    a = got[1]
+    assert (a["base_row"], a["title"], a["title_source"], a["year"], a["year_source"], a["pdf_url_source"], a["abstract_source"]) == (1, "T one", "crossref", 2020, "pubmed", "pubmed", "crossref")
+    assert a["skyline"] == 3 and got[4]["title"] is None and got[4]["copies"] == 2
+    cells = [{"words": w, "pdf_ok": p, "count_ok": c, "has": h, "trust": t, "first_row": i, "last_row": i, "last_at": i} for i, (w, p, c, h, t) in enumerate([(9, 1, 1, 3, 2), (9, 0, 1, 3, 2), (0, 1, 0, 15, 1)], 1)]
+    kept, level = survivor.skyline(cells)
+    assert [level[i] for i, c in enumerate(kept) if c["first_row"] == 2] == [0] and survivor.choose(cells)[:4] == (1, 3, 2, 3)
+
+
+def test_a_spelling_of_two_entries_names_none_in_trees_and_shards(spark):
+    entries = spark.createDataFrame([("e coli", 1), ("e coli", 2), ("escherichia coli", 1), ("entamoeba coli", 2), ("b cereus", 3)], "spelling string, entry long")
+    df = spark.createDataFrame([("E. coli",), ("Escherichia coli",), ("entamoeba coli",), ("E coly",), ("Esch. coli",), ("B. cereus",), ("",), (None,)], "v string")
+    tree, *sharded = ({r["v"]: r["entry_id"] for r in canonical.map_to_list(df, "v", entries, broadcast_entries=bound, shards=n).collect()} for bound, n in ((100, 1), (0, 1), (0, 2), (0, 5)))
+    assert tree["E. coli"] == -1 and tree["Escherichia coli"] == 1 and tree["B. cereus"] == 3 and all(s == tree for s in sharded)
+
+
 REF = [(1, "Escherichia coli", ["colon bacillus"]), (2, "Staphylococcus aureus", ["MRSA"]), (3, "Staphylococcus epidermidis", []), (4, "Mus musculus", ["mouse"]), (5, "Enterobacter cloacae", [])]
 TYPED = {
     "E. coli": 1, "ESCHERICHIA COLI": 1, "Escherichiacoli": 1, "Esch. coli": 1, "coli, Escherichia": 1, "E. Escherichia coli NRQ 123": 1, "Escherichia coli (strain K12": 1, "E. coli (colon bacillus)": 1, "eschercihia cli": 1,
