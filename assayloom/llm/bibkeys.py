@@ -6,7 +6,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
-from assayloom.llm.markup import clean
+from assayloom.llm.markup import clean, may_be_marked
 
 # Letters without a decomposition, spellings of Greek letters, and one spelling of words with several.
 _LETTERS = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ı": "i", "ß": "s", "æ": "e", "œ": "e", "þ": "t", "ð": "d"})
@@ -35,9 +35,10 @@ def title_key(title: str | None) -> tuple[str, str, str, bool]:
     """
     if not title:
         return "", "", "", False
-    text = " ".join(clean(title)[0].replace("&", " and ").split()).strip(" \"'")
+    text = clean(title)[0] if may_be_marked(title) else title
+    text = " ".join(text.replace("&", " and ").split()).strip(" \"'")
     cut = ("…" in text or "..." in text) and bool(_ELLIPSIS.search(text))
-    text = fold(_ELLIPSIS.sub("", text) if cut else text).strip()
+    text = (_ELLIPSIS.sub("", text) if cut else text).lower().strip()
     kind = ""
     for mark, pattern in (("c", _CORRECTION), ("r", _REPLY)) if ":" in text or "-" in text or "–" in text or "—" in text else ():
         m = pattern.match(text)
@@ -58,9 +59,9 @@ def _words(text: str) -> str:
 
 @lru_cache(maxsize=1 << 16)
 def _piece(piece: str) -> str:
-    """The words of a piece of text without blanks, in one spelling."""
+    """The words of a piece of text without blanks, folded and in one spelling."""
     out = []
-    for w in _WORD.findall(piece):
+    for w in _WORD.findall(fold(piece)):
         w = _GREEK.get(w, w)
         out.append(_SPELLING.get(w, _ZED.sub("s", w)))
     return " ".join(out)
@@ -94,7 +95,9 @@ def same_word(a: str, b: str) -> bool:
         return True
     if a[0].isdigit() or b[0].isdigit() or abs(len(a) - len(b)) > 2 or min(len(a), len(b)) < 3:
         return False
-    return edits(a, b) <= (1 if max(len(a), len(b)) < 8 else 2)
+    most = 1 if max(len(a), len(b)) < 8 else 2
+    # an edit changes two letters of the set at most
+    return len(set(a) ^ set(b)) <= 2 * most and edits(a, b) <= most
 
 
 @lru_cache(maxsize=1 << 15)

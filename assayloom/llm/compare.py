@@ -31,14 +31,15 @@ def _segment(a: list[str], b: list[str], frequent: dict[str, int]) -> bool:
         return True
     if len(a) == len(b) == 1 and (len(x) == 1 or len(y) == 1) and x[0] == y[0] and not x[0].isdigit() and max(len(x), len(y)) > 3:
         return True  # a genus abbreviated
-    if [c for c in x if c.isdigit() or c > "z"] != [c for c in y if c.isdigit() or c > "z"]:
+    if not (x.isascii() and x.isalpha() and y.isascii() and y.isalpha()) and [c for c in x if c.isdigit() or c > "z"] != [c for c in y if c.isdigit() or c > "z"]:
         return False
     if all(w in frequent for w in a) and all(w in frequent for w in b):
         fewer, more = sorted((min(frequent[w] for w in a), min(frequent[w] for w in b)))
         if fewer * RARER > more:
             return False
     n = max(len(x), len(y))
-    return n >= 2 and edits(x, y) <= (1 if n < 5 else 2 if n < 14 else 3)
+    most = 1 if n < 5 else 2 if n < 14 else 3
+    return n >= 2 and abs(len(x) - len(y)) <= most and len(set(x) ^ set(y)) <= 2 * most and edits(x, y) <= most
 
 
 #: A frequent word this many times rarer than another may still be a slip of it.
@@ -67,8 +68,19 @@ def words_agree(a: str, b: str, frequent: dict[str, int], prefix: bool = False)
         if len(x) < 2:
             return False, 0.0
         del last
-    same = 0
-    for op, i, j, k, m in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
+    # equal beginnings, and ends unless the end is open, need no alignment
+    lo, hi, most = 0, 0, min(len(x), len(y))
+    while lo < most and x[lo] == y[lo]:
+        lo += 1
+    while not prefix and hi < most - lo and x[-1 - hi] == y[-1 - hi]:
+        hi += 1
+    same = lo + hi
+    x, y = x[lo : len(x) - hi], y[lo : len(y) - hi]
+    longest = max(len(x), len(y)) + same
+    if not x and not y:
+        return True, same / max(longest, 1)
+    ops = [("replace", 0, len(x), 0, len(y))] if set(x).isdisjoint(y) else SequenceMatcher(None, x, y, autojunk=False).get_opcodes()
+    for op, i, j, k, m in ops:
         if op == "equal":
             same += j - i
             continue
@@ -77,7 +89,7 @@ def words_agree(a: str, b: str, frequent: dict[str, int], prefix: bool = False)
             continue
         if not _segment(p, q, frequent) and not (len(p) == len(q) and all(u == v or _segment([u], [v], frequent) for u, v in zip(p, q))):
             return False, 0.0
-    return True, same / max(len(x), len(y), 1)
+    return True, same / max(longest, 1)
 
 
 @lru_cache(maxsize=1 << 14)
@@ -88,8 +100,9 @@ def _word_set(text: str) -> frozenset[str]:
 def cannot_agree(a: str, b: str, frequent: dict[str, int]) -> bool:
     """A quick sign that two titles differ: the shorter has a frequent word that nothing in the longer can be a slip of.
 
-    Such a word stands in the longer title as it is, with a slip (then a rare word, or a word far rarer), joined to another (a rare
-    word) or abbreviated (a single letter). The last word may be cut and is left out.
+    Such a word stands in the longer title as it is, with a slip (then a rare word, or a word far rarer), joined to others (a rare
+    word), parted (its beginning or end) or abbreviated (its first letter); there must be enough such words, and no slip leaves more
+    than three letters out. The last word may be cut and is left out.
     """
     if len(a) > len(b):
         a, b = b, a
@@ -99,10 +112,18 @@ def cannot_agree(a: str, b: str, frequent: dict[str, int]) -> bool:
         return False
     extra = y - x
     last = a.rsplit(" ", 1)[-1]
-    known = [frequent[w] for w in lost if len(w) > 3 and w in frequent and w != last]
+    known = [w for w in lost if len(w) > 3 and w in frequent and w != last]
     if not known:
         return False
-    return not any(len(w) == 1 or w not in frequent or frequent[w] * RARER <= max(known) or len(w) < 4 for w in extra)
+    often = max(frequent[w] for w in known) / RARER
+    stand = [w for w in extra if len(w) < 4 or frequent.get(w, 0) <= often]
+    if len(stand) * 3 < len(known):  # three words at most are joined to one
+        return True
+    for w in known:
+        n = len(w) - 3
+        if not any(len(e) >= n or w.startswith(e) or w.endswith(e) for e in stand):
+            return True
+    return False
 
 
 def _later(x: list[str], y: list[str]) -> int:
@@ -116,7 +137,10 @@ def _later(x: list[str], y: list[str]) -> int:
 
 
 def authors_agree(a: tuple[str, ...], b: tuple[str, ...]) -> float | None:
-    """Share of the shorter author list found in the longer; None where a list is missing."""
+    """Share of the shorter author list found in the longer; None where a list is missing.
+
+    Names may have slips, but lists of two or more that share no name as written do not agree.
+    """
     if not a or not b:
         return None
     if len(a) > len(b):
@@ -124,8 +148,15 @@ def authors_agree(a: tuple[str, ...], b: tuple[str, ...]) -> float | None:
     rest = set(b)
     lost = [s for s in a if s not in rest]
     hits = len(a) - len(lost)
+    if not hits and len(a) > 1:
+        return 0.0
     if hits * 2 < len(a):  # a slip leaves the beginning or the end of a name
-        hits += sum(1 for s in lost if any((s[:2] == t[:2] or s[-3:] == t[-3:]) and same_word(s, t) for t in rest))
+        for s in lost:
+            begins, ends = s[:2], s[-3:]
+            for t in rest:
+                if (t.startswith(begins) or t.endswith(ends)) and (t[:2] == begins or t[-3:] == ends) and same_word(s, t):
+                    hits += 1
+                    break
     return hits / len(a)
 
 

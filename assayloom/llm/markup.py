@@ -92,6 +92,11 @@ HINT = r"[&<`\[{\\$*_]|''|\]\(|(?:^|\n)[ \t]*[#>\-+•=|~\d]"
 _HINT = re.compile(HINT)
 
 
+def may_be_marked(text: str) -> bool:
+    """Whether a text holds a sign that every markup needs."""
+    return _HINT.search(text) is not None
+
+
 def _wiki_table(body: str) -> str:
     rows, cells = [], []
     for line in body.split("\n")[1:]:

@@ -8,6 +8,7 @@ are calibrated to a confidence on records whose DOIs tell the truth.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,13 +27,13 @@ from assayloom.session import cut
 COMMON = 0.0005
 #: Records that walks and vectors are fitted on (all of them up to there), and pairs of them that confidence is calibrated on.
 SAMPLE, CALIBRATED = 8_000, 4_000
-#: The greatest signature distance that is reranked, and records in a block of a crowded bucket.
-REACH, CROWD = 22, 400
+#: The greatest distance of 32-bit signatures that is reranked, and records in a block of a crowded bucket.
+REACH, CROWD = 12, 400
 #: Bits of a bucket up to which every view has one table; beyond, there is one table more per bit, since a pair shares a longer key less often.
 BITS = 13
 #: Crowded buckets that may be known to every task; beyond, they are told by a join.
 KNOWN_CROWDS = 100_000
-#: Registrants of preprint DOIs that may be known to every task; beyond, they are told by a join.
+#: Registrants of preprint DOIs that may be known to every task.
 KNOWN_SERVERS = 10_000
 
 _RECORD = (
@@ -40,14 +41,16 @@ _RECORD = (
     .add("id", T.LongType())
     .add("source", T.StringType())
     .add("doi", T.StringType())
-    .add("preprint", T.BooleanType())
+    .add("named", T.BooleanType())
     .add("kind", T.StringType())
     .add("main", T.StringType())
     .add("sub", T.StringType())
     .add("cut", T.BooleanType())
-    .add("authors", T.ArrayType(T.StringType()))
+    .add("who", T.StringType())
     .add("year", T.IntegerType())
 )
+#: Stands between authors of a list that travels as one text.
+_BETWEEN = "\u0001"
 
 
 def _normalise(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -58,35 +61,38 @@ def _normalise(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "id": df["id"],
                 "source": df["source"],
                 "doi": df["doi"],
-                "preprint": df["preprint"],
+                "named": df["named"],
                 "kind": [k[0] for k in keys],
                 "main": [k[1] for k in keys],
                 "sub": [k[2] for k in keys],
                 "cut": [k[3] for k in keys],
-                "authors": [surnames(a) for a in df["authors"]],
+                "who": ["|".join(surnames(a.split(_BETWEEN))) if a else "" for a in df["authors"]],
                 "year": df["year"],
             }
         )
 
 
-def with_preprints(rows: DataFrame) -> DataFrame:
-    """Adds `preprint`: whether the DOI's registrant is a server whose rows name no journal.
+def is_preprint(rows: DataFrame):
+    """A column: whether `doi` is of a registrant that is a server, whose rows name no journal (`named`).
 
     Of a registrant's rows (five at least) one in twenty at most may name a journal. Rows without a DOI are no preprints here.
+    Registrants are told by a list of bounded size; where there were more servers than `KNOWN_SERVERS`, this fails.
     """
-    if "journal" not in rows.columns:
-        return rows.withColumn("preprint", F.lit(False))
     by = F.regexp_extract("doi", "^10[.][0-9]+", 0)
-    servers = rows.filter("doi is not null").groupBy(by.alias("by")).agg(F.count("*").alias("n"), F.count("journal").alias("named")).filter("n >= 5 and named * 20 <= n").select("by")
+    servers = rows.filter("doi is not null").groupBy(by.alias("by")).agg(F.count("*").alias("n"), F.count_if("named").alias("named")).filter("n >= 5 and named * 20 <= n").select("by")
     known = [r[0] for r in servers.limit(KNOWN_SERVERS + 1).collect()]
-    if len(known) <= KNOWN_SERVERS:
-        return rows.withColumn("preprint", F.coalesce(by.isin(known), F.lit(False)) if known else F.lit(False))
-    return rows.join(servers.withColumn("preprint", F.lit(True)), by == F.col("by"), "left").drop("by").withColumn("preprint", F.coalesce("preprint", F.lit(False)))
+    if len(known) > KNOWN_SERVERS:
+        raise ValueError(f"more than {KNOWN_SERVERS} registrants of preprints")
+    return F.coalesce(by.isin(known), F.lit(False)) if known else F.lit(False)
+
+
+def _names(who: str) -> tuple[str, ...]:
+    return tuple(who.split("|")) if who else ()
 
 
 def _record(row) -> Record:
     year = row["year"]
-    return Record(row["kind"] or "", row["main"] or "", row["sub"] or "", bool(row["cut"]), tuple(row["authors"] if row["authors"] is not None else ()), None if year is None or year != year else int(year), row["doi"], bool(row["preprint"]))
+    return Record(row["kind"] or "", row["main"] or "", row["sub"] or "", bool(row["cut"]), _names(row["who"]), None if year is None or year != year else int(year), row["doi"], bool(row["preprint"]))
 
 
 def fit(sample: list[Record], vocabulary: dict[str, int], total: int) -> tuple[Embedder, np.ndarray]:
@@ -133,7 +139,10 @@ def calibrate(sample: list[Record], embedder: Embedder, vocabulary: dict[str, in
 
 
 # ---- Spark -------------------------------------------------------------------------------------------------------------
-_BUCKET = T.StructType().add("key", T.LongType()).add("sign", T.LongType()).add("c", T.LongType()).add("doi", T.LongType()).add("about", T.IntegerType())
+_BUCKET = T.StructType().add("key", T.LongType()).add("sign", T.IntegerType()).add("c", T.LongType()).add("doi", T.LongType()).add("about", T.IntegerType())
+_MASKS = ("who0", "who1", "ends")
+for _m in _MASKS:
+    _BUCKET = _BUCKET.add(_m, T.LongType())
 
 
 def tables(bits: int) -> list[str]:
@@ -142,27 +151,52 @@ def tables(bits: int) -> list[str]:
     return [views[k % len(views)] for k in range(len(views) + max(0, bits - BITS))]
 
 
+@lru_cache(maxsize=1 << 16)
+def _name_bits(name: str) -> tuple[int, int, int]:
+    """A bit of 128 for a name, and bits of 32 each for its first two and its last three letters."""
+    k = xxhash.xxh64_intdigest(name, seed=1) % 128
+    ends = 1 << xxhash.xxh64_intdigest(name[:2], seed=2) % 32 | 1 << 32 + xxhash.xxh64_intdigest(name[-3:], seed=3) % 32
+    return (1 << k, 0, ends) if k < 64 else (0, 1 << k - 64, ends)
+
+
+def _masks(names: tuple[str, ...]) -> tuple[int, int, int]:
+    w0 = w1 = ends = 0
+    for n in names:
+        x, y, z = _name_bits(n)
+        w0, w1, ends = w0 | x, w1 | y, ends | z
+    return w0, w1, ends
+
+
 def buckets(classes: DataFrame, embedder, bits: int) -> DataFrame:
-    """One row per record and table: bucket, 64-bit signature of the view, and what a pair must agree in: `about` packs year
-    (0 for none), length of the DOI (0 for none) and preprint."""
+    """One row per record and table: bucket, 32-bit signature of the view, and what a pair must agree in.
+
+    `about` packs the number of authors (two for more), year (0 for none), length of the DOI (0 for none) and preprint; the masks
+    hold hashed names of all authors and their ends.
+    """
     rng = np.random.default_rng(SEED + 1)
-    signers = {view: rng.standard_normal((DIM, 64)).astype(np.float32) for view in VIEWS}
+    signers = {view: rng.standard_normal((DIM, 32)).astype(np.float32) for view in VIEWS}
     planes = [(k, view, rng.standard_normal((DIM, bits)).astype(np.float32)) for k, view in enumerate(tables(bits))]
-    powers = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
+    powers = 2.0 ** np.arange(bits)  # at most 40 bits, exact in doubles
 
     def hash_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e: Embedder = embedder.value
         for df in parts:
             ids = df["c"].to_numpy()
+            names = [_names(w) for w in df["who"]]
             dois = np.array([xxhash.xxh64_intdigest(d) - (1 << 63) if d else 0 for d in df["doi"]], dtype=np.int64)
             size = np.array([min(len(d), 255) if d else 0 for d in df["doi"]], dtype=np.int64)
-            about = (df["year"].fillna(0).to_numpy().astype(np.int64) & 0xFFF) << 9 | size << 1 | ((size > 0) & df["preprint"].to_numpy(bool))
-            seen = e.views(df["main"].tolist(), [tuple(a) for a in df["authors"]])
-            signs = {view: np.packbits(m @ signers[view] > 0, axis=1).view(np.int64).ravel() for view, (_, m) in seen.items()}
-            for k, view, h in planes:
-                if view in seen:
-                    rows, m = seen[view]
-                    yield pd.DataFrame({"key": ((m @ h > 0).astype(np.int64) @ powers) * 64 + k, "sign": signs[view], "c": ids[rows], "doi": dois[rows], "about": about[rows].astype(np.int32)})
+            few = np.array([min(len(n), 2) for n in names], dtype=np.int64)
+            about = few << 22 | (df["year"].fillna(0).to_numpy().astype(np.int64) & 0xFFF) << 9 | size << 1 | ((size > 0) & df["preprint"].to_numpy(bool))
+            masks = np.array([_masks(n) for n in names], dtype=np.uint64).reshape(-1, 3).view(np.int64)
+            seen = e.views(df["main"].tolist(), names)
+            signs = {view: np.packbits(m @ signers[view] > 0, axis=1).view(np.int32).ravel() for view, (_, m) in seen.items()}
+            told = [(k, view, h) for k, view, h in planes if view in seen]
+            if not told:
+                continue
+            rows = np.concatenate([seen[view][0] for _, view, _ in told])
+            key = np.concatenate([((seen[view][1] @ h > 0).astype(np.float64) @ powers).astype(np.int64) * 64 + k for k, view, h in told])
+            sign = np.concatenate([signs[view] for _, view, _ in told])
+            yield pd.DataFrame({"key": key, "sign": sign, "c": ids[rows], "doi": dois[rows], "about": about[rows].astype(np.int32), **{name: masks[rows, j] for j, name in enumerate(_MASKS)}})
 
     return classes.mapInPandas(hash_rows, _BUCKET)
 
@@ -175,28 +209,31 @@ def candidates(rows: DataFrame) -> DataFrame:
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"))
     known = sizes.limit(KNOWN_CROWDS + 1).collect()
+    content = ("sign", "c", "doi", "about", *_MASKS)
     if not known:
-        keyed = rows.select("key", F.lit(0).alias("own"), F.lit(0).alias("other"), "sign", "c", "doi", "about")
+        keyed = rows.select("key", F.lit(0).alias("own"), F.lit(0).alias("other"), *content)
     else:
         told = sizes if len(known) > KNOWN_CROWDS else F.broadcast(rows.sparkSession.createDataFrame(known, "key long, blocks int"))
         blocked = rows.join(told, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-        met = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        met = blocked.withColumn("other", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))))
         low, high = F.least("own", "other"), F.greatest("own", "other")
-        keyed = met.select(F.when(F.col("blocks") > 1, F.xxhash64("key", low, high)).otherwise(F.col("key")).alias("key"), "own", "other", "sign", "c", "doi", "about")
+        keyed = met.select(F.when(F.col("blocks") > 1, F.xxhash64("key", low, high)).otherwise(F.col("key")).alias("key"), "own", "other", *content)
     # one exchange serves both sides of the join
     spread = keyed.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
-    side = lambda x: spread.select("key", F.col("sign").alias(f"s{x}"), F.col("c").alias(x), F.col("doi").alias(f"d{x}"), F.col("about").alias(f"t{x}"), F.col("own").alias(f"o{x}"), F.col("other").alias(f"p{x}"))
+    side = lambda x: spread.select("key", F.col("c").alias(x), *[F.col(n).alias(f"{n}_{x}") for n in ("own", "other", "sign", "doi", "about", *_MASKS)])
     # records of one block meet under the block's pair with itself, of two blocks under the pair of both
-    pairs = side("a").join(side("b"), "key").filter("a < b and oa = pb and pa = ob")
-    near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= REACH
-    year = lambda x: F.shiftright(f"t{x}", 9)
-    years = (year("a") == 0) | (year("b") == 0) | (F.abs(year("a") - year("b")) <= 2)
+    pairs = side("a").join(side("b"), "key").filter("a < b and own_a - other_b = 0 and other_a - own_b = 0")  # as equalities of columns they would be keys of the exchange
+    years = "((about_a >> 9 & 4095) = 0 or (about_b >> 9 & 4095) = 0 or abs((about_a >> 9 & 4095) - (about_b >> 9 & 4095)) <= 2)"
     # DOIs of one length and kind that differ are two works; others are left to the exact comparison
-    dois = (F.col("da") == 0) | (F.col("db") == 0) | ((F.col("da") != F.col("db")) & (F.col("ta").bitwiseAND(0x1FF) != F.col("tb").bitwiseAND(0x1FF)))
-    return pairs.filter(years & dois & near).select("a", "b").distinct()
+    dois = "(doi_a = 0 or doi_b = 0 or (doi_a <> doi_b and (about_a & 511) <> (about_b & 511)))"
+    # as in the exact comparison: lists of two or more share an author, a single author has at least an end of its name in common
+    fewer = "least(about_a >> 22, about_b >> 22)"
+    authors = f"({fewer} = 0 or (who0_a & who0_b) <> 0 or (who1_a & who1_b) <> 0 or ({fewer} = 1 and (ends_a & ends_b) <> 0))"
+    near = f"bit_count(sign_a ^ sign_b) <= {REACH}"
+    return pairs.filter(" and ".join((years, dois, authors, near))).select("a", "b").distinct()
 
 
-_FIELDS = ("doi", "preprint", "kind", "main", "sub", "cut", "authors", "year")
+_FIELDS = ("doi", "kind", "main", "sub", "cut", "who", "year")
 
 
 def matched(papers: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -207,12 +244,12 @@ def matched(papers: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame
     weakest. Rows without a title are left out.
     """
     spark = papers.sparkSession
-    columns = [F.col("paper_row").alias("id"), "source", doi_key(F.col("doi")).alias("doi"), "title", "authors", "year", *(["journal"] if "journal" in papers.columns else [])]
-    raw = with_preprints(papers.select(*columns).filter("title is not null")).drop("journal")
+    columns = [F.col("paper_row").alias("id"), "source", doi_key(F.col("doi")).alias("doi"), "title", F.array_join("authors", _BETWEEN).alias("authors"), "year", (F.col("journal").isNotNull() if "journal" in papers.columns else F.lit(True)).alias("named")]
+    raw = papers.select(*columns).filter("title is not null")
     # two independent digests of all compared fields tell records apart; only they travel with a row
     digests = [F.xxhash64(*_FIELDS).alias("h"), F.xxhash64(F.lit(SEED), *reversed(_FIELDS)).alias("g")]
-    members = cut(raw.mapInPandas(_normalise, _RECORD).filter("main <> ''").select("id", "source", *digests, *_FIELDS))
-    classes = cut(members.groupBy("h", "g", *_FIELDS).agg(F.min("id").alias("c")))
+    members = cut(raw.mapInPandas(_normalise, _RECORD).filter("main <> ''").select("id", "source", "named", *digests, *_FIELDS))
+    classes = cut(members.groupBy("h", "g", *_FIELDS).agg(F.min("id").alias("c")).withColumn("preprint", is_preprint(members)))
     total = classes.count()
     words = classes.select(F.explode(F.array_distinct(F.split(F.concat_ws(" ", "main", "sub"), " "))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     vocabulary = {r["w"]: int(r["n"]) for r in words.filter(F.col("n") >= max(4.0, COMMON * total)).collect() if r["w"]}
@@ -223,9 +260,9 @@ def matched(papers: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame
     model, weights = fit(sample, vocabulary, max(total, 1))
     embedder = spark.sparkContext.broadcast(model)
     bits = min(40, max(10, int(np.ceil(np.log2(max(total, 2)))) - 2))
-    pairs = candidates(cut(buckets(classes.select("c", "doi", "preprint", "main", "authors", "year"), embedder, bits)))
+    pairs = candidates(cut(buckets(classes.select("c", "doi", "preprint", "main", "who", "year"), embedder, bits)))
     fields = ("kind", "main", "sub", "cut", "who", "year", "doi", "preprint")
-    payload = lambda x: classes.select(F.col("c").alias(x), "kind", "main", "sub", "cut", F.array_join("authors", "|").alias("who"), F.coalesce("year", F.lit(0)).alias("year"), "doi", "preprint").toDF(x, *[f"{f}_{x}" for f in fields])
+    payload = lambda x: classes.select(F.col("c").alias(x), "kind", "main", "sub", "cut", "who", F.coalesce("year", F.lit(0)).alias("year"), "doi", "preprint").toDF(x, *[f"{f}_{x}" for f in fields])
     loaded = pairs.join(payload("a"), "a").join(payload("b"), "b")
 
     def rerank(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,8 +271,8 @@ def matched(papers: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame
             out = []
             left, right = (list(zip(*[df[f"{f}_{x}"].tolist() for f in fields])) for x in "ab")
             for i, (x, y) in enumerate(zip(left, right)):
-                a = Record(x[0], x[1], x[2], x[3], tuple(x[4].split("|")) if x[4] else (), x[5] or None, x[6], x[7])
-                b = Record(y[0], y[1], y[2], y[3], tuple(y[4].split("|")) if y[4] else (), y[5] or None, y[6], y[7])
+                a = Record(x[0], x[1], x[2], x[3], _names(x[4]), x[5] or None, x[6], x[7])
+                b = Record(y[0], y[1], y[2], y[3], _names(y[4]), y[5] or None, y[6], y[7])
                 if score := compare(a, b, vocabulary)[0]:
                     out.append((i, score))
             at = [i for i, _ in out]
@@ -337,14 +374,13 @@ def parted(found: DataFrame, carried: DataFrame, classes: DataFrame) -> DataFram
     A task holds the links of one such component.
     """
     edges = found.select("a", "b", "confidence", F.lit(False).alias("carried")).unionByName(carried.select("a", "b", "confidence", F.lit(True).alias("carried")))
-    works = cut(components(edges))
     journal = classes.select("c", F.when(~F.col("preprint"), F.col("doi")).alias("journal"))
-    known = cut(works.join(journal, "c"))
+    known = cut(components(edges).join(journal, "c"))
     mixed = known.groupBy("work").agg(F.min("journal").alias("x"), F.max("journal").alias("y")).filter("x <> y").select("work")
     members = cut(known.join(mixed, "work", "left_semi").select("c", "work", "journal"))
     links = edges.join(members.toDF("a", "whole", "ja"), "a").join(members.select(F.col("c").alias("b"), F.col("journal").alias("jb")), "b")
     parts = links.repartition("whole").sortWithinPartitions("whole").mapInPandas(_split_works, _PART)
-    return cut(works.join(members, "c", "left_anti").select("c", "work", "weakest").unionByName(parts))
+    return cut(known.join(members, "c", "left_anti").select("c", "work", "weakest").unionByName(parts))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from assayloom.llm.bibkeys import edits, same_word, surname, surnames, title_key
 from assayloom.llm.compare import Record, authors_agree, compare, words_agree
 from assayloom.llm import walks as vectors
-from assayloom.llm.match import components, match_papers, match_works, with_preprints
+from assayloom.llm.match import components, match_papers, match_works, is_preprint
 from assayloom.llm.walks import Embedder, companions, graph, skipgram, walks
 
 SCHEMA = "paper_row long, source string, doi string, title string, authors array<string>, year int"
@@ -97,9 +97,9 @@ def test_zero_vectors_find_nothing_but_copies(spark, monkeypatch):
 
 
 def test_preprint_servers_name_no_journal(spark):
-    rows = [("10.5/a", None)] * 6 + [("10.6/b", "J")] * 6 + [("10.7/c", None)] + [(None, None)]
-    got = with_preprints(spark.createDataFrame(rows, "doi string, journal string")).filter("preprint").select("doi").distinct().collect()
-    assert [r[0] for r in got] == ["10.5/a"]
+    rows = [("10.5/a", False)] * 6 + [("10.6/b", True)] * 6 + [("10.7/c", False)] + [(None, False)]
+    df = spark.createDataFrame(rows, "doi string, named boolean")
+    assert [r[0] for r in df.filter(is_preprint(df)).select("doi").distinct().collect()] == ["10.5/a"]
 
 
 def test_components_against_union_find(spark):
