@@ -111,3 +111,20 @@ def unit_vector(v: Column) -> Column:
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def six_digits(number: Column) -> Column:
+    """A number with six significant digits and no trailing zeros, in powers of ten beyond 0.0001 and a million."""
+    told = F.format_string("%.5e", number)
+    power = F.regexp_extract(told, r"e([-+]\d+)$", 1).try_cast("int")
+    digits = F.regexp_replace(F.regexp_extract(told, r"^([-\d.]+)e", 1), r"\.?0+$", "")
+    plain = F.regexp_replace(F.regexp_replace(told.try_cast("decimal(38,12)").cast("string"), r"0+$", ""), r"\.$", "")
+    long = F.concat(digits, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return F.when(number == 0, "0").when((power >= -4) & (power < 6), plain).otherwise(long)
+
+
+def clean_value(text: Column) -> Column:
+    """A value without comparators, a comma as decimal mark; numbers with six significant digits, other texts as they are, blank null."""
+    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), ",", "."), r"^[<>=~≤≥≈]+", ""))
+    number = F.when(bare.rlike(r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?$"), bare.try_cast("double"))
+    return F.coalesce(six_digits(number), F.nullif(bare, F.lit("")))

@@ -60,7 +60,7 @@ def compound_key(label: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Runs of white space to one blank, none at the ends."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
 def micro_norm(text: Column, to: str = MICRO) -> Column:
@@ -69,9 +69,14 @@ def micro_norm(text: Column, to: str = MICRO) -> Column:
 
 
 def safe_filename(text: Column, suffix: str = ".pdf", most: int = 180) -> Column:
-    """A file name: illegal signs and blanks to "_", outer "._ " off, at most `most` characters, with suffix."""
-    clean = F.regexp_replace(F.regexp_replace(F.trim(text), r'[<>:"/\\|?*]', "_"), r"\s+", "_")
-    return F.concat(F.substring(F.btrim(clean, F.lit("._ ")), 1, most), F.lit(suffix))
+    """A file name: runs of illegal signs and of blanks to one "_", outer "._ " off, at most `most` characters, with suffix.
+
+    What leaves nothing is "unknown"; a suffix that is there already, in any case, is not repeated.
+    """
+    clean = F.regexp_replace(F.regexp_replace(strip(text), r"[\\/:*?\"<>|\n\r\t]+", "_"), r"(?U)\s+", "_")
+    name = F.substring(F.btrim(clean, F.lit("._ ")), 1, most)
+    name = F.when(name == "", "unknown").otherwise(name)
+    return F.when(F.lower(name).endswith(suffix.lower()), name).otherwise(F.concat(name, F.lit(suffix)))
 
 
 def is_open(value: Column) -> Column:
@@ -93,25 +98,39 @@ def organism_rule(text: Column) -> Column:
     return first_rule(text, ORGANISM_RULES)
 
 
+def strip(text: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def target_type(text: Column) -> Column:
-    """pMIC before MIC, then MBC and IC50; other texts stay."""
-    up = F.upper(text)
-    return F.when(F.contains(up, F.lit("PMIC")), "pMIC").when(F.contains(up, F.lit("MIC")), "MIC").when(F.contains(up, F.lit("MBC")), "MBC").when(F.contains(up, F.lit("IC50")), "IC50").otherwise(text)
+    """pMIC where that is all, MIC where it is contained; other texts stay, blank ones are null."""
+    name = F.nullif(strip(text), F.lit(""))
+    return F.when(F.lower(name) == "pmic", "pMIC").when(F.contains(F.lower(name), F.lit("mic")), "MIC").otherwise(name)
+
+
+def relation_of(*sources: Column) -> Column:
+    """">" or "<" of the first source that has one or its "or equal" form, ">" before "<"; "=" otherwise."""
+    signs = [F.when(F.coalesce(s, F.lit("")).rlike("[>≥]"), ">").when(F.coalesce(s, F.lit("")).rlike("[<≤]"), "<") for s in sources]
+    return F.coalesce(*signs, F.lit("="))
 
 
-def relation_of(op: Column, value: Column) -> Column:
-    """The first of > and < found in the operator, then in the value; "=" otherwise."""
-    has = lambda c, s: F.contains(F.coalesce(c, F.lit("")), F.lit(s))
-    return F.when(has(op, ">"), ">").when(has(op, "<"), "<").when(has(value, ">"), ">").when(has(value, "<"), "<").otherwise("=")
+def pdf_name(text: Column) -> Column:
+    """A file's name in lower case without its ending."""
+    low = F.lower(text)
+    return F.when(low.endswith(".pdf"), F.substring(low, F.lit(1), F.length(low) - 4)).otherwise(low)
 
 
-STRAIN = r"(?i)\s+(strain|isolate|clinical|atcc|wild|resistant)\b"
+# Culture collections and strains after which an organism's strain begins.
+STRAIN = r"(?i)\b(ATCC|ATTC|NCTC|NCIMB|DSM|MTCC|KCTC|CCM|CIP|NRRL|MRSA|VRE|H37Rv|PAO1|O157)\b"
 
 
 def split_strain(text: Column) -> tuple[Column, Column]:
-    """(organism, strain) split at the first strain keyword; strain is empty where there is none."""
+    """(organism, strain) split at the first strain word; strain is null where there is none, an organism is never empty."""
+    text = F.nullif(strip(text), F.lit(""))
     at = F.regexp_instr(text, F.lit(STRAIN))
-    return F.trim(F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text)), F.trim(F.when(at > 0, F.substring(text, at, F.length(text))).otherwise(""))
+    before = F.btrim(F.substring(text, F.lit(1), at - 1), F.lit(" ,;"))
+    return F.when((at > 0) & (before != ""), before).otherwise(text), F.when(at > 0, strip(F.substring(text, at, F.length(text))))
 
 
 def split_property_unit(header: Column) -> tuple[Column, Column]:

@@ -21,8 +21,12 @@ def _rank(column: str, ranks: dict[str, int], other: int):
     return out
 
 
-def _grouped(records: DataFrame):
+def _grouped(records: DataFrame, leaders: DataFrame | None = None):
     eid = text.entity_id(F.col("inchikey"), F.col("pubchem_cid"), F.col("cas"))
+    if leaders is not None:
+        named = leaders.select(F.col("name").alias("__name"), F.concat(F.lit("nm:"), F.lower("leader")).alias("__leader"))
+        records = records.join(named, F.coalesce("name_std", "name_raw") == F.col("__name"), "left")
+        eid = F.coalesce(eid, F.col("__leader"))
     keyed = records.withColumn("eid", eid).filter("eid is not null").withColumn("bucket", numeric.value_bucket(F.col("value_std")))
     ids = sum(F.col(c).isNotNull().cast("int") for c in ("inchikey", "pubchem_cid", "cas", "smiles_canonical"))
     best = F.struct(_rank("validation", PRIMARY_RANK, 3).alias("v"), (-ids).alias("i"), F.col("extracted_at").alias("t"), F.col("rec_no").alias("rec_no"))
@@ -36,13 +40,14 @@ def _grouped(records: DataFrame):
     return keyed, groups
 
 
-def duplicate_groups(records: DataFrame) -> DataFrame:
+def duplicate_groups(records: DataFrame, leaders: DataFrame | None = None) -> DataFrame:
     """Groups of two or more records of one entity, property, value (to 0.0001) and unit.
 
     dup_group (numbered by first appearance), n, dup_level (1 verbatim, 4 same value, 2 without a property), primary_rec (best
-    validation, most identifiers, earliest). Records without an identifier form no group.
+    validation, most identifiers, earliest). Records without an identifier are told apart by the leader of their name's cluster
+    in `leaders` (name, leader); without that table they form no group.
     """
-    _, groups = _grouped(records)
+    _, groups = _grouped(records, leaders)
     many = groups.filter("n > 1").withColumn("dup_level", F.when(F.col("one_obs"), 1).when(F.col("prop") != "", 4).otherwise(2))
     return number(many, "first_rec").select(F.format_string("dup_%03d", "number").alias("dup_group"), "n", "dup_level", "first_rec", "primary_rec")
 
@@ -66,22 +71,26 @@ def value_conflicts(records: DataFrame) -> DataFrame:
 
 # Issues by the text that reveals them, and where it stands.
 ISSUES = [
-    ("malformed structure", "validation_detail", "unparseable smiles"),
-    ("malformed structure", "review_reason", "malformed smiles"),
+    ("malformed SMILES", "validation_detail", "unparseable smiles"),
+    ("malformed SMILES", "review_reason", "malformed smiles"),
     ("unresolved compound name", "review_reason", "unresolved name"),
+    ("unresolved compound name", "validation_detail", "name did not resolve"),
     ("missing unit", "review_reason", "unit missing"),
-    ("unit pending", "review_reason", "pending"),
+    ("missing unit", "review_reason", "unit assumed"),
     ("invalid unit", "review_reason", "invalid unit"),
     ("unparseable value", "review_reason", "unparseable value"),
-    ("comparator", "validation_detail", "comparator"),
-    ("range", "validation_detail", "range"),
-    ("implausible value", "review_reason", "implausible"),
+    ("value reported as range", "review_reason", "range"),
+    ("implausible value (out of range)", "review_reason", "implausible"),
+    ("weak/inactive value (>1 mM)", "review_reason", "weak "),
+    ("suspicious range (descending/too wide)", "review_reason", "suspicious range"),
 ]
+CLASH = "conflicting value"
 
 
 def issue_counts(records: DataFrame) -> DataFrame:
-    """issue, n: records by issue; a record may have several, each counted once."""
+    """issue, n: records by issue; a record may have several, each counted once. A flagged conflict is an issue of its own."""
     hits = [F.when(F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(t)), F.lit(i)) for i, c, t in ISSUES]
+    hits.append(F.when(F.col("conflict_flag"), F.lit(CLASH)))
     return records.select(F.explode(F.array_distinct(F.array_compact(F.array(*hits)))).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
 
 
@@ -94,6 +103,8 @@ def report_counts(records: DataFrame) -> DataFrame:
         F.count_if(F.expr("is_primary is not distinct from false")).alias("removed"),
         F.count_if(F.col("needs_review")).alias("needs_review"),
         F.count_distinct(compound).alias("compounds"),
+        F.count_distinct(F.nullif("dup_group", F.lit(""))).alias("dup_groups"),
+        F.count_distinct(F.nullif("conflict_group", F.lit(""))).alias("conflict_groups"),
     )
 
 

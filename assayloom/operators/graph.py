@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Role names by alias.
-ROLES = {"inhibitor": "inhibitor", "antagonist": "inhibitor", "ligand": "ligand", "binder": "ligand", "substrate": "substrate", "product": "product", "catalyst": "catalyst"}
+ROLES = {
+    "reactant": "reactant", "substrate": "reactant", "starting material": "reactant", "product": "product", "reagent": "reagent", "catalyst": "catalyst", "solvent": "solvent",
+    "reaction medium": "reaction_medium", "medium": "reaction_medium", "ligand": "ligand", "target": "target", "analyte": "analyte", "property": "property",
+}
 
 
 def canonical_role(role):
-    """A role under its canonical name; unknown roles stay."""
-    low = F.lower(F.trim(role))
-    return F.coalesce(*[F.when(low == k, F.lit(v)) for k, v in ROLES.items()], role)
+    """A role under its canonical name; null for unknown roles."""
+    known = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+    return F.try_element_at(known, F.lower(F.regexp_replace(role, r"(?U)^\s+|\s+$", "")))
 
 
 def author_edges(papers: DataFrame) -> DataFrame:

@@ -44,23 +44,31 @@ def majority_vote(votes: DataFrame, item: str, value: str, order: str) -> DataFr
     return best.select(item, F.col("b.value").alias("winner"), (-F.col("b.minus")).alias("votes"), "total")
 
 
-# Figure classes by keyword, in order; words a routing term never is.
+# Figure classes by what a caption contains, in order; words a routing term never is; classes worth a little more.
 RELEVANCE = [
-    ("performance_plot", r"\b(performance|efficiency|yield|conversion|activity|survival)\b"),
-    ("binding_curve", r"\b(binding|dose|inhibition|titration|isotherm)\b"),
-    ("spectrum", r"\b(spectrum|spectra|nmr|diffraction|absorption)\b"),
-    ("structure", r"\b(structure|crystal|scaffold)\b"),
-    ("microscopy", r"\b(micrograph|sem|tem|microscopy|image)\b"),
-    ("scheme", r"\b(scheme|synthesis|route|pathway)\b"),
-    ("table", r"\btable\b"),
+    ("binding_curve", ("binding", "affinity", "dissociation constant", " kd ", "isotherm", "titration", "dose-response", "dose response", "ic50", "ec50", "saturation curve", "adsorption isotherm")),
+    ("spectrum", ("spectra", "spectrum", "spectroscop", " nmr", "ftir", " ir ", "uv-vis", "uv–vis", "raman", " xrd", " xps", "diffraction", "fluorescence", "absorption spectr", "mass spec")),
+    ("micrograph", (" sem", " tem", " afm", " stm", "micrograph", "microscopy", "microscope")),
+    ("structure", ("chemical structure", "molecular structure", "skeletal", "crystal structure", "scheme", "synthesi", "reaction ")),
+    ("mechanism", ("mechanism", "pathway", "catalytic cycle", "proposed")),
+    ("performance_plot", ("performance", "efficiency", "yield", "conversion", "selectivity", "rejection", "flux", "capacity", "cycling", "retention", "stability", "as a function of", "versus", " vs ", "over time")),
+    ("workflow", ("schematic", "design", "setup", "apparatus", "illustration", "overview", "workflow", "fabrication", "process")),
 ]
-STOP = ("the", "and", "are", "was", "were", "what", "which", "how", "does", "with", "from", "that", "this", "these", "those", "its", "their", "between", "based", "figure", "fig", "scheme", "panel", "image", "value", "values", "shown", "using", "used", "into", "than", "then", "also", "can", "effect", "for")
+STOP = (
+    "the", "a", "an", "of", "in", "on", "for", "to", "and", "or", "is", "are", "was", "were", "what", "which", "how", "does", "do", "with", "by", "at", "as", "from", "that", "this", "these", "those",
+    "its", "their", "between", "based", "figure", "fig", "scheme", "panel", "image", "value", "values", "shown", "using", "used", "into", "than", "then", "also", "can", "be", "it", "effect",
+)
+CURVES = ("performance_plot", "binding_curve", "spectrum")
+FIGURE_NUMBER = r"(?i)\bfig(?:ure)?\.?\s*(\d+)"
+ASKED_NUMBER = r"(?i)\b(?:fig(?:ure)?|scheme)\.?\s*(\d+)"
+FIGURE_WORD = r"(?i)\b(fig(?:ure)?|scheme|panel|image|micrograph|spectrum|spectra|curve|plot|graph|shown|depicted|inset|photograph|diagram|illustrat)\b"
 
 
 def data_relevance(caption: Column) -> Column:
-    """Class of a caption: the first whose keywords occur; null where none do."""
+    """Class of a caption: the first of which it contains a keyword; null where it contains none."""
     low = F.lower(caption)
-    return F.coalesce(*[F.when(low.rlike(p), F.lit(k)) for k, p in RELEVANCE])
+    holds = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(low, w))
+    return F.coalesce(*[F.when(holds(words), F.lit(k)) for k, words in RELEVANCE])
 
 
 def terms(caption: Column) -> Column:
@@ -68,14 +76,22 @@ def terms(caption: Column) -> Column:
     return F.array_except(F.array_distinct(F.regexp_extract_all(F.lower(caption), F.lit(r"([a-z][a-z0-9-]{2,})"), F.lit(1))), F.array(*map(F.lit, STOP)))
 
 
-def route_figures(captions: DataFrame, question: str, key: str, caption: str, k: int = 3) -> DataFrame:
+def route_figures(captions: DataFrame, question: str, key: str, caption: str, k: int = 3, paper: str | None = None, top_paper=None) -> DataFrame:
     """The k captions that fit a question best: rank, key, score.
 
-    25 for the question's class, 4 per shared word up to 20, 2 for plots, curves and spectra; captions that share nothing are out.
+    100 for a figure number the question names, 25 for the question's class, 4 per shared word up to 20; captions without any are
+    out. 3 more in the paper that ranks first (`paper` names the column), 2 more for plots, curves and spectra. A question that
+    names no number, no class and no figure word routes nothing.
     """
     q = F.lit(question)
+    refs = F.regexp_extract_all(q, F.lit(ASKED_NUMBER), F.lit(1))
     kind, kind_q = data_relevance(F.col(caption)), data_relevance(q)
-    base = F.when(kind == kind_q, 25).otherwise(0) + F.least(F.size(F.array_intersect(terms(F.col(caption)), terms(q))) * 4, F.lit(20))
-    score = F.when(base > 0, base + F.when(kind.isin("performance_plot", "binding_curve", "spectrum"), 2).otherwise(0))
-    scored = captions.select(key, score.cast("long").alias("score")).filter("score is not null")
+    asked = (F.size(refs) > 0) | kind_q.isNotNull() | q.rlike(FIGURE_WORD)
+    number = F.nullif(F.regexp_extract(caption, FIGURE_NUMBER, 1), F.lit(""))
+    base = F.when(F.array_contains(refs, number), 100).otherwise(0) + F.when(kind == kind_q, 25).otherwise(0)
+    base = base + F.least(F.size(F.array_intersect(terms(F.col(caption)), terms(q))) * 4, F.lit(20))
+    more = F.when(kind.isin(*CURVES), 2).otherwise(0)
+    if paper is not None:
+        more = more + F.when(F.col(paper) == F.lit(top_paper), 3).otherwise(0)
+    scored = captions.select(key, F.when(asked & (base > 0), base + more).cast("long").alias("score")).filter("score is not null")
     return top_k(scored, F.col("score"), key, k).select(F.col("rank").cast("long").alias("rank"), key, "score")

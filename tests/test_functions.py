@@ -115,8 +115,8 @@ def test_text_keys(spark):
     assert [r["k"] for r in got] == ["3a", "12"]
     got = values(spark, [("MIC (mg/L)",), ("mp, K",), ("IC50",)], "h string", n=text.split_property_unit(F.col("h"))[0], u=text.split_property_unit(F.col("h"))[1])
     assert [(r["n"], r["u"]) for r in got] == [("MIC", "mg/L"), ("mp", "K"), ("IC50", "")]
-    got = values(spark, [("E. coli strain 12",), ("S. aureus",)], "o string", a=text.split_strain(F.col("o"))[0], b=text.split_strain(F.col("o"))[1])
-    assert [(r["a"], r["b"]) for r in got] == [("E. coli", "strain 12"), ("S. aureus", "")]
+    got = values(spark, [("E. coli, ATCC 25922",), ("S. aureus",), ("MRSA",), ("  ",)], "o string", a=text.split_strain(F.col("o"))[0], b=text.split_strain(F.col("o"))[1])
+    assert [(r["a"], r["b"]) for r in got] == [("E. coli", "ATCC 25922"), ("S. aureus", None), ("MRSA", "MRSA"), (None, None)]
 
 
 def test_micro_and_numbers(spark):
@@ -146,3 +146,20 @@ def test_disagreement(spark):
     rows = [(1.0, 2.0, "nM"), (1.0, 2.1, "nM"), (10.0, 15.0, "degC"), (10.0, 15.1, "degC"), (0.0, 1.0, "nM"), (1.0, 11.0, "%")]
     got = values(spark, rows, "lo double, hi double, u string", d=numeric.values_disagree(F.col("lo"), F.col("hi"), F.col("u")))
     assert [r["d"] for r in got] == [False, True, False, True, True, False]
+
+
+def test_rules_as_the_fixed_values_give_them(spark):
+    names = [("a/b: c*?.pdf",), ("  ..  ",), ("x" * 200,), ("a\tb\n\nc",), ("Report.PDF",), (None,)]
+    got = [r["f"] for r in values(spark, names, "t string", f=text.safe_filename(F.col("t")))]
+    assert got == ["a_b__c_.pdf", "unknown.pdf", "x" * 180 + ".pdf", "a_b_c.pdf", "Report.PDF", None]
+    kinds = [r["k"] for r in values(spark, [("pMIC",), (" mic90",), ("MBC",), (" ",), (None,)], "t string", k=text.target_type(F.col("t")))]
+    assert kinds == ["pMIC", "MIC", "MBC", None, None]
+    ops = [r["o"] for r in values(spark, [("≥", "< 5"), (None, "≤5"), ("=", "5"), ("<>", "")], "a string, b string", o=text.relation_of(F.col("a"), F.col("b")))]
+    assert ops == [">", "<", "=", ">"]
+    assert [r["p"] for r in values(spark, [("A b.PDF",), ("c.pdf.pdf",)], "t string", p=text.pdf_name(F.col("t")))] == ["a b", "c.pdf"]
+
+
+def test_printed_numbers(spark):
+    raw = ["12.50", "<= 0,05", "1234567", "0.0000123", "100", "abc", " ", None, "≈1e-3", "0", "-2.5", "999999.5", "1000000"]
+    got = [r["v"] for r in values(spark, [(x,) for x in raw], "t string", v=numeric.clean_value(F.col("t")))]
+    assert got == ["12.5", "0.05", "1.23457e+06", "1.23e-05", "100", "abc", None, None, "0.001", "0", "-2.5", "1e+06", "1e+06"]
