@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions import numeric, text
-from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score
+from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score, standardise
 from assayloom.session import table
+from assayloom.sources import connectors, fulltext
 from assayloom.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,7 +92,7 @@ def _primary(t):
     "issue_counts",
     "select issue, count(*) n from (select distinct rec_no, issue from ("
     + " union all ".join(f"select rec_no, '{i}' issue from curated_records where contains(lower({c}), '{x}')" for i, c, x in curate.ISSUES)
-    + ")) group by 1",
+    + f" union all select rec_no, '{curate.CLASH}' from curated_records where conflict_flag)) group by 1",
 )
 def _issues(t):
     return curate.issue_counts(t("curated_records"))
@@ -100,7 +101,7 @@ def _issues(t):
 @query(
     "record_report",
     """select count(*) records, count(*) filter (is_primary is distinct from false) primaries, count(*) filter (is_primary = false) removed, count(*) filter (needs_review) needs_review,
-    count(distinct coalesce(nullif(inchikey, ''), 'cid:' || nullif(pubchem_cid, ''), 'cas:' || nullif(cas, ''), 'nm:' || lower(nullif(name_std, '')))) compounds from curated_records""",
+    count(distinct coalesce(nullif(inchikey, ''), 'cid:' || nullif(pubchem_cid, ''), 'cas:' || nullif(cas, ''), 'nm:' || lower(nullif(name_std, '')))) compounds, count(distinct nullif(dup_group, '')) dup_groups, count(distinct nullif(conflict_group, '')) conflict_groups from curated_records""",
 )
 def _report(t):
     return curate.report_counts(t("curated_records"))
@@ -163,6 +164,13 @@ def _names(t):
     return fuzzy.cluster_names(loose.withColumn("name", F.coalesce("name_std", "name_raw")), "rec_no", "name", exact=True)
 
 
+@query("dup_groups_named")
+def _dups_named(t):
+    records = t("curated_records")
+    loose = records.filter("inchikey is null and pubchem_cid is null and cas is null").withColumn("name", F.coalesce("name_std", "name_raw"))
+    return curate.duplicate_groups(records, fuzzy.cluster_names(loose, "rec_no", "name", exact=True))
+
+
 @query("assay_vocabulary")
 def _vocabulary(t):
     rows = t("curated_records").filter("assay_type_raw is not null").groupBy("assay_type_raw").agg(F.count("*").alias("n"))
@@ -414,7 +422,11 @@ def _doi(t):
     return t("papers").select("paper_row", text.doi_plain(F.col("doi")).alias("plain"), text.alnum_key(F.col("doi")).alias("k"))
 
 
-@query("safe_filename", r"""select paper_row, substr(trim(regexp_replace(regexp_replace(trim(title), '[<>:"/\\|?*]', '_', 'g'), '\s+', '_', 'g'), '._ '), 1, 180) || '.pdf' f from papers""")
+@query(
+    "safe_filename",
+    r"""select paper_row, case when ends_with(lower(n), '.pdf') then n else n || '.pdf' end f from (select paper_row, case when c is null then null when c = '' then 'unknown' else c end n from
+    (select paper_row, substr(trim(regexp_replace(regexp_replace(regexp_replace(title, '^\s+|\s+$', '', 'g'), '[\\/:*?"<>|\n\r\t]+', '_', 'g'), '\s+', '_', 'g'), '._ '), 1, 180) c from papers))""",
+)
 def _safe(t):
     return t("papers").select("paper_row", text.safe_filename(F.col("title")).alias("f"))
 
@@ -478,13 +490,41 @@ def _categories(t):
     return t("curated_records").filter("assay_type_raw is not null or organism_raw is not null").select("rec_no", text.assay_type(F.col("assay_type_raw")).alias("assay"), text.organism_rule(F.col("organism_raw")).alias("organism"))
 
 
+_CLEAN = "trim(regexp_replace(replace(trim(target_value), ',', '.'), '^[<>=~≤≥≈]+', ''))"
+_PDF = "case when ends_with(lower(pdf), '.pdf') then substr(lower(pdf), 1, length(pdf) - 4) else lower(pdf) end"
+
+
 @query(
     "prediction_fields",
-    r"""select row_id, trim(trim(trim(compound_id), '*'), '()') cid, case when contains(upper(target_type), 'PMIC') then 'pMIC' when contains(upper(target_type), 'MIC') then 'MIC' when contains(upper(target_type), 'MBC') then 'MBC' when contains(upper(target_type), 'IC50') then 'IC50' else target_type end kind,
-    case when contains(coalesce(target_relation, ''), '>') then '>' when contains(coalesce(target_relation, ''), '<') then '<' when contains(coalesce(target_value, ''), '>') then '>' when contains(coalesce(target_value, ''), '<') then '<' else '=' end relation from assay_rows""",
+    rf"""select row_id, trim(trim(trim(compound_id), '*'), '()') cid, case when lower(trim(target_type)) = 'pmic' then 'pMIC' when contains(lower(target_type), 'mic') then 'MIC' else nullif(trim(target_type), '') end kind,
+    case when regexp_matches(coalesce(target_relation, ''), '[>≥]') then '>' when regexp_matches(coalesce(target_relation, ''), '[<≤]') then '<' when regexp_matches(coalesce(target_value, ''), '[>≥]') then '>' when regexp_matches(coalesce(target_value, ''), '[<≤]') then '<' else '=' end relation,
+    {_PDF} pdf, case when regexp_full_match({_CLEAN}, '[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?') then printf('%g', cast({_CLEAN} as double)) else nullif({_CLEAN}, '') end v from assay_rows""",
 )
 def _fields(t):
-    return t("assay_rows").select("row_id", text.compound_key(F.col("compound_id")).alias("cid"), text.target_type(F.col("target_type")).alias("kind"), text.relation_of(F.col("target_relation"), F.col("target_value")).alias("relation"))
+    cols = [text.compound_key(F.col("compound_id")).alias("cid"), text.target_type(F.col("target_type")).alias("kind"), text.relation_of(F.col("target_relation"), F.col("target_value")).alias("relation")]
+    return t("assay_rows").select("row_id", *cols, text.pdf_name(F.col("pdf")).alias("pdf"), numeric.clean_value(F.col("target_value")).alias("v"))
+
+
+_COLLECTIONS = r"(?i)\b(ATCC|ATTC|NCTC|NCIMB|DSM|MTCC|KCTC|CCM|CIP|NRRL|MRSA|VRE|H37Rv|PAO1|O157)\b"
+
+
+@query(
+    "strain_split",
+    rf"""select rec_no, case when f <> '' and trim(substr(o, 1, length(o) - length(f)), ' ,;') <> '' then trim(substr(o, 1, length(o) - length(f)), ' ,;') else o end organism, nullif(f, '') strain
+    from (select rec_no, o, coalesce(regexp_extract(o, '{_COLLECTIONS}(?s:.*)'), '') f from (select rec_no, nullif(regexp_replace(organism_raw, '^\s+|\s+$', '', 'g'), '') o from curated_records where organism_raw is not null))""",
+)
+def _strains(t):
+    organism, strain = text.split_strain(F.col("organism_raw"))
+    return t("curated_records").filter("organism_raw is not null").select("rec_no", organism.alias("organism"), strain.alias("strain"))
+
+
+def _relevance_sql(column: str) -> str:
+    return "case " + " ".join(f"when list_bool_or([contains(lower({column}), k) for k in [{', '.join(repr(w) for w in words)}]]) then '{kind}'" for kind, words in retrieve.RELEVANCE) + " end"
+
+
+@query("caption_class", f"select kind, count(*) n from (select {_relevance_sql('title')} kind from papers) group by 1")
+def _relevance(t):
+    return t("papers").groupBy(retrieve.data_relevance(F.col("title")).alias("kind")).agg(F.count("*").alias("n"))
 
 
 _HEAD = r"regexp_extract(property, '^(.*?)\s*[(\[]([^()\[\]]*)[)\]]\s*$', {0})"
@@ -530,6 +570,61 @@ def _html(t):
     return pages.select("paper_row", text.citation_pdf_url(F.col("html")).alias("url")).filter("url is not null")
 
 
+@query("table_measures", "select p_partkey, 0 as row, p_name compound, 'IC50' property, 'conc' family, 'nM' unit, p_size::varchar v from part where trim(p_name) not in ('', '-', '—', 'n/a', 'NA') union all select p_partkey, 0, p_name, 'yield', 'pct', '%', p_retailprice::decimal(12, 2)::varchar from part")
+def _tables(t):
+    md = F.concat(F.lit("| No | Compound | brand | IC50 (nM) | Yield, % |\n|---|---|---|---|---|\n| 1 | "), "p_name", F.lit(" | "), "p_brand", F.lit(" | "), F.col("p_size").cast("string"), F.lit(" | "), F.col("p_retailprice").cast("decimal(12,2)").cast("string"), F.lit(" |\n| 2 | - | x | 5 | 6 |"))
+    return extract.table_measures(t("part").select("p_partkey", md.alias("md")), "p_partkey", "md").select("p_partkey", "row", "compound", "property", "family", "unit", F.col("value").alias("v"))
+
+
+def _xml(column: str):
+    out = F.regexp_replace(F.coalesce(column, F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "")
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(sign), F.lit(entity))
+    return out
+
+
+_SQUEEZED = r"trim(regexp_replace({0}, '[\s\p{{Z}}]+', ' ', 'g'))"
+_ASCII = "title is not null and regexp_full_match(title, '[ -~]*')"
+
+
+@query("jats_fields", f"select paper_row, '## ' || {_SQUEEZED.format('title')} || chr(10) || chr(10) || 'Body of ' || {_SQUEEZED.format('title')} body, 'Fig. 1 ' || {_SQUEEZED.format('title')} caption from papers where {_ASCII} and trim(title) <> ''")
+def _jats(t):
+    rows = t("papers").filter("title is not null and title rlike '^[ -~]*$' and trim(title) <> ''")
+    x = _xml("title")
+    doc = F.concat(F.lit("<article><body><sec><title>"), x, F.lit("</title><p>Body of <italic>"), x, F.lit("</italic></p><fig><label>Fig. 1</label><caption><p>"), x, F.lit("</p></caption></fig></sec></body></article>"))
+    got = rows.select("paper_row", fulltext.jats(doc).alias("j"))
+    return got.select("paper_row", F.col("j.text").alias("body"), F.get("j.figures", F.lit(0))["text"].alias("caption"))
+
+
+@query("html_blocks", f"select paper_row, '## ' || {_SQUEEZED.format('title')} || chr(10) || chr(10) || 'See ' || {_SQUEEZED.format('title')} body, 'source | ' || source tbl from papers where {_ASCII} and trim(title) <> '' and source is not null")
+def _html_blocks(t):
+    x = _xml("title")
+    rows = t("papers").filter("title is not null and title rlike '^[ -~]*$' and trim(title) <> '' and source is not null")
+    page = F.concat(F.lit("<html><body><nav>menu</nav><h1>"), x, F.lit("</h1><p>See <b>"), x, F.lit("</b></p><table><tr><td></td></tr><tr><th>source</th><td>"), "source", F.lit("</td></tr></table></body></html>"))
+    got = rows.select("paper_row", fulltext.html(page).alias("h"))
+    return got.select("paper_row", F.col("h.text").alias("body"), F.get("h.tables", F.lit(0))["text"].alias("tbl"))
+
+
+@query("tei_refs", "select pdf, count(distinct k)::int n_refs, min(k) least from (select pdf, regexp_extract(doi, '10\\.\\d{4,9}/[^\\s\"<>]+') k from assay_rows where pdf is not null) where k <> '' and not ends_with(k, '.') and not ends_with(k, ')') group by 1")
+def _tei(t):
+    dois = t("assay_rows").filter("pdf is not null").select("pdf", F.regexp_extract("doi", r'10\.\d{4,9}/[^\s"<>]+', 0).alias("k")).filter("k <> '' and not endswith(k, '.') and not endswith(k, ')')")
+    entries = F.concat_ws("", F.collect_list(F.concat(F.lit('<biblStruct><idno type="doi">'), _xml("k"), F.lit("</idno></biblStruct>"))))
+    # a paper's rows repeat few DOIs; distinct ones make its document, so its size is bounded by them
+    doc = dois.distinct().groupBy("pdf").agg(F.concat(F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body/><back>'), entries, F.lit("</back></text></TEI>")).alias("doc"))
+    refs = doc.select("pdf", fulltext.tei(F.col("doc"))["references"].alias("r"))
+    return refs.select("pdf", F.size("r").alias("n_refs"), F.array_min("r").alias("least"))
+
+
+@query("connector_map", "select paper_row, source, doi, title, coalesce(year, 0) y, coalesce(citation_count, 0) cites from papers where source in ('openalex', 'semantic_scholar', 'core') and title is not null and title <> '' and coalesce(doi, '') not like '%https://doi.org/%' and coalesce(doi, 'x') <> ''")
+def _connectors(t):
+    rows = t("papers").filter("source in ('openalex', 'semantic_scholar', 'core') and title is not null and title <> '' and coalesce(doi, '') not like '%https://doi.org/%' and coalesce(doi, 'x') <> ''")
+    openalex = F.to_json(F.struct(F.col("doi"), F.col("title"), F.col("year").alias("publication_year"), F.col("citation_count").alias("cited_by_count")))
+    scholar = F.to_json(F.struct(F.struct(F.col("doi").alias("DOI")).alias("externalIds"), F.col("title"), F.col("year"), F.col("citation_count").alias("citationCount")))
+    core = F.to_json(F.struct(F.col("doi"), F.col("title"), F.col("year").alias("yearPublished"), F.col("citation_count").alias("citationCount")))
+    answers = rows.select("paper_row", "source", F.when(F.col("source") == "openalex", openalex).when(F.col("source") == "core", core).otherwise(scholar).alias("payload"))
+    return connectors.map_payloads(answers).select("paper_row", "source", "doi", "title", F.coalesce("year", F.lit(0)).alias("y"), F.col("citation_count").alias("cites"))
+
+
 @query("chunk_overlap")
 def _chunks(t):
     return extract.chunk_texts(t("documents").filter("text is not null"), "doc_id", "text")
@@ -541,10 +636,46 @@ def _measures(t):
 
 
 # ---- routing and manifests ---------------------------------------------------------------------------------------------
-_HITS = r"len(regexp_extract_all(text, '(?i)\b\d+(?:,\d+)*-[a-z]{4,}'))"
+_HITS = f"len(regexp_extract_all(text, '{routing.SYSTEMATIC}'))"
 _PAGE = "case when length(text) / greatest(coalesce(n_pages, 1), 1) < 100 then 'scanned' else 'digital' end"
 
 
+@query("standardised")
+def _standardised(t):
+    raw = t("curated_records")
+    cols = ["rec_no", "property", "value_std", "unit_std", "conversion_note", "value_op", "value_min", "value_max", "assay_type_std", "organism_std", "review_reason"]
+    return standardise.standardise_records(raw).select(*cols)
+
+
+_SQ = "trim(regexp_replace({0}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
+_FILL = "case when {0} is null or {0} in ('', 'nan', 'None') then 'NOT_DETECTED' else {0} end"
+_NUM = r"case when regexp_full_match(replace(trim(target_value), ',', '.'), '-?\d+(\.\d+)?') then regexp_replace(replace(trim(target_value), ',', '.'), '\.0+$', '') else target_value end"
+
+
+@query(
+    "assembled",
+    rf"""with r as (select pdf, row_id, trim(trim(trim(compound_id), '*'), '()') cid, nullif(smiles, 'NOT_DETECTED') smiles, {', '.join(f"{_SQ.format(_NUM if c == 'target_value' else c)} {c}" for c in standardise.FIELDS)} from assay_rows),
+    k as (select pdf, cid, min(smiles) g from r where smiles is not null group by 1, 2), l as (select r.*, g from r left join k using (pdf, cid)), u as (select *, row_number() over (partition by pdf order by row_id) - 1 j from l where g is null),
+    p as (select pdf, smiles, row_number() over (partition by pdf order by smiles) - 1 slot, count(*) over (partition by pdf) n from (select distinct pdf, smiles from r where smiles is not null)),
+    f as (select u.row_id, p.smiles from u join p on u.pdf = p.pdf and u.j % p.n = p.slot)
+    select distinct l.pdf, {_FILL.format('cid')} compound_id, coalesce(g, f.smiles, 'NOT_DETECTED') smiles, {', '.join(f"{_FILL.format(c)} {c}" for c in standardise.FIELDS)} from l left join f using (row_id)""",
+)
+def _assembled(t):
+    rows = t("assay_rows").withColumn("smiles", F.nullif("smiles", F.lit("NOT_DETECTED")))
+    return standardise.assemble(rows.select("pdf", "row_id", "compound_id", *standardise.FIELDS), rows.select("pdf", "compound_id", "smiles"), rows.select("pdf", "smiles"))
+
+
+@query("source_precedence", "select doi, arg_min(source, coalesce(list_position(['crossref', 'pubmed', 'europepmc', 'openalex'], source), 99)::bigint * 1000000000 + paper_row) source from papers where doi is not null and title <> '' group by 1")
+def _precedence(t):
+    # one value per source, the earliest row's
+    rows = t("papers").filter("doi is not null and title <> '' and source is not null").groupBy("doi", "source").agg(F.min("paper_row").alias("paper_row"))
+    padded = rows.withColumn("at", F.lpad(F.col("paper_row").cast("string"), 12, "0"))
+    known = ("crossref", "pubmed", "europepmc", "openalex")
+    named = padded.withColumn("rank_source", F.when(F.col("source").isin(*known), F.col("source")).otherwise(F.lit("other")))
+    best = standardise.source_precedence(named.groupBy("doi", "rank_source").agg(F.min("at").alias("at")), ["doi"], "rank_source", "at", known)
+    return best.join(padded.select("doi", "at", "source"), ["doi", "at"]).select("doi", "source")
+
+
 @query("strategy_route", f"select doc_id, {_PAGE} kind, case when {_HITS} >= 15 then case when {_PAGE} = 'scanned' then 'reingest' else 'names' end else 'images' end strategy from documents where text is not null")
 def _strategy(t):
     kind = routing.page_class(F.length("text"), F.coalesce("n_pages", F.lit(1)))
@@ -553,14 +684,15 @@ def _strategy(t):
 
 @query(
     "engine_reconcile",
-    """with r as (select pdf || '|' || coalesce(payload ->> '$.compound_id', '') item, engine, payload ->> '$.target_value' v from llm_rows), p as (select item, v, count(distinct engine) n from r where v is not null group by 1, 2),
-    b as (select item, max(n) n, sum(n) rd, count(*) vs from p group by 1) select item, case when rd is null then 'failed' when vs = 1 and rd > 1 then 'ok' when n * 2 > rd or vs = 1 then 'review' else 'disagree' end status from (select distinct item from r) left join b using (item) where item is not null""",
+    """with r as (select pdf || '|' || coalesce(payload ->> '$.compound_id', '') || '|' || coalesce(payload ->> '$.target_type', '') item, engine, payload ->> '$.target_value' v from llm_rows),
+    e as (select item, engine, min(nullif(v, '')) v from r where item is not null group by 1, 2), b as (select item, count(v) n, count(distinct v) k, arg_min(v, coalesce(engine, '')) filter (v is not null) fv from e group by 1)
+    select item, case when k = 0 then 'failed' when k > 1 then 'disagree' when n > 1 then 'ok' else 'review' end status, fv v, case when k = 0 then 0.0 when k > 1 then 0.3 when n > 1 then 0.95 else 0.6 end::double confidence from b""",
 )
 def _reconcile(t):
     p = _predictions(t)
-    item = F.concat("pdf", F.lit("|"), F.coalesce("compound_id", F.lit("")))
-    readings = t("llm_rows").select("raw_id", "engine").join(p, "raw_id").select(item.alias("item"), "engine", F.col("target_value").alias("v")).filter("item is not null")
-    return routing.reconcile(readings, "item", "engine", "v").select("item", "status")
+    item = F.concat_ws("|", "pdf", F.coalesce("compound_id", F.lit("")), F.coalesce("target_type", F.lit("")))
+    readings = t("llm_rows").select("raw_id", "engine").join(p, "raw_id").filter("pdf is not null").select(item.alias("item"), F.coalesce("engine", F.lit("")).alias("engine"), F.col("target_value").alias("v"))
+    return routing.reconcile(readings, "item", "engine", "v").select("item", "status", "v", "confidence")
 
 
 @query("manifest_summary", "select count(*) n_rows, count(*) filter (coalesce(lower(trim(access)) in ('1', '1.0', 'true', 'yes', 'y', 'open', 'oa', 'gold', 'green', 'hybrid', 'bronze'), false)) oa_rows, count(distinct pdf) n_pdf, count(distinct doi) n_doi from assay_rows")

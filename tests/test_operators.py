@@ -8,11 +8,11 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score
+from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score, standardise
 from assayloom.sources import readers, writers
 from assayloom.streaming import windows
 
-RECORD = "rec_no long, source_pdf string, source_type string, extractor string, evidence string, name_raw string, name_std string, smiles_raw string, smiles_canonical string, inchikey string, pubchem_cid string, cas string, formula string, mw double, target_raw string, organism_raw string, property string, value_raw string, unit_raw string, value_std double, unit_std string, value_op string, validation string, validation_detail string, review_reason string, is_primary boolean, conflict_flag boolean, needs_review boolean, extracted_at string"
+RECORD = "rec_no long, source_pdf string, source_type string, extractor string, evidence string, name_raw string, name_std string, smiles_raw string, smiles_canonical string, inchikey string, pubchem_cid string, cas string, formula string, mw double, target_raw string, organism_raw string, property string, value_raw string, unit_raw string, value_std double, unit_std string, value_op string, validation string, validation_detail string, review_reason string, is_primary boolean, conflict_flag boolean, needs_review boolean, dup_group string, conflict_group string, extracted_at string"
 
 
 def record(i, **kw):
@@ -93,11 +93,10 @@ def test_entity_never_failed(spark):
     assert got == {"ik:A": ("unverified", "c2"), "ik:B": ("passed", None)}
 
 
-def test_chunks_overlap():
+def test_chunks_overlap(spark):
     text = "\n\n".join(f"{'x' * 90} {i}" for i in range(10))
-    chunks = extract.fold_chunks(text, 300, 50)
+    chunks = spark.createDataFrame([(text,)], "t string").select(extract.chunked(F.col("t"), 300, 50)).first()[0]
     assert len(chunks) > 3 and all(b.startswith(a[-50:].strip()) or a[-50:].strip()[:20] in b for a, b in zip(chunks, chunks[1:]))
-    assert extract.fold_chunks("", 300, 50) == [] and extract.fold_chunks(" \n\n ", 300, 50) == []
 
 
 def test_focus_lines_marks_gaps(spark):
@@ -149,9 +148,90 @@ def test_pool_is_taken_in_turn(spark):
 
 
 def test_reconcile(spark):
-    rows = [("a", "e1", "X"), ("a", "e2", "X"), ("b", "e1", "X"), ("b", "e2", "Y"), ("c", "e1", None), ("d", "e1", "X"), ("e", "e1", "X"), ("e", "e2", "X"), ("e", "e3", "Y")]
-    got = {r["item"]: r["status"] for r in routing.reconcile(spark.createDataFrame(rows, "item string, engine string, v string"), "item", "engine", "v").collect()}
-    assert got == {"a": "ok", "b": "disagree", "c": "failed", "d": "review", "e": "review"}
+    rows = [("a", "decimer", "X"), ("a", "vision", "X"), ("b", "decimer", "X"), ("b", "vision", "Y"), ("c", "vision", None), ("d", "vision", "X"), ("e", "decimer", "X"), ("e", "other", "X"), ("e", "molscribe", "Y"), ("f", "other", "")]
+    got = {r["item"]: tuple(r)[1:] for r in routing.reconcile(spark.createDataFrame(rows, "item string, engine string, v string"), "item", "engine", "v").collect()}
+    assert got == {"a": ("ok", "X", 0.95, []), "b": ("disagree", "Y", 0.3, ["X"]), "c": ("failed", None, 0.0, []), "d": ("review", "X", 0.6, []), "e": ("disagree", "Y", 0.3, ["X"]), "f": ("failed", None, 0.0, [])}
+
+
+def test_issues_as_the_fixed_values_give_them(spark):
+    rows = [("Unparseable SMILES", "malformed smiles", None), (None, "unit missing; weak activity", True), (None, "suspicious range", False), ("name did not resolve", None, None), (None, "unit assumed", None)]
+    got = {r["issue"]: r["n"] for r in curate.issue_counts(spark.createDataFrame(rows, "validation_detail string, review_reason string, conflict_flag boolean")).collect()}
+    assert got == {"malformed SMILES": 1, "missing unit": 2, "weak/inactive value (>1 mM)": 1, "conflicting value": 1, "value reported as range": 1, "suspicious range (descending/too wide)": 1, "unresolved compound name": 1}
+
+
+def test_name_clusters_join_records_without_identifiers(spark):
+    cols = "rec_no long, inchikey string, pubchem_cid string, cas string, smiles_canonical string, name_std string, name_raw string, property string, value_std double, unit_std string, validation string, extracted_at string, " + ", ".join(f"{c} string" for c in ("source_pdf", "source_type", "smiles_raw", "value_raw", "unit_raw", "target_raw"))
+    rows = [(i, None, None, None, None, n, n, "MIC", 5.0, "nM", None, "t", *[None] * 6) for i, n in enumerate(["4-allyl indole", "4-allyl-indole", "other thing"], 1)]
+    df = spark.createDataFrame(rows, cols)
+    leaders = spark.createDataFrame([("4-allyl indole", "4-allyl indole"), ("4-allyl-indole", "4-allyl indole"), ("other thing", "other thing")], "name string, leader string")
+    assert curate.duplicate_groups(df).count() == 0
+    assert [tuple(r) for r in curate.duplicate_groups(df, leaders).collect()] == [("dup_001", 2, 4, 1, 1)]
+
+
+def test_roles_and_captions(spark):
+    df = spark.createDataFrame([(" Substrate",), ("starting material",), ("reaction medium",), ("inhibitor",)], "r string")
+    assert [r[0] for r in df.select(graph.canonical_role(F.col("r"))).collect()] == ["reactant", "reactant", "reaction_medium", None]
+    caps = [("Dose-response of x",), ("FTIR spectra",), ("SEM of y: a sem image",), ("Synthesis route",), ("Proposed pathway",), ("Yield over time",), ("The design",), ("nothing",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(caps, "c string").select(retrieve.data_relevance(F.col("c"))).collect()]
+    assert got == ["binding_curve", "spectrum", "micrograph", "structure", "mechanism", "performance_plot", "workflow", None, None]
+
+
+def test_figures_by_number_class_words_and_paper(spark):
+    caps = spark.createDataFrame([(1, "p", "Fig. 2 Binding isotherm of agar"), (2, "q", "Figure 3. Yield of agar"), (3, "p", "Agar gel"), (4, "p", "Unrelated")], "id long, paper string, caption string")
+    got = lambda q, **k: [(r["id"], r["score"]) for r in retrieve.route_figures(caps, q, "id", "caption", **k).collect()]
+    assert got("What does Figure 3 show about agar?") == [(2, 106), (1, 6), (3, 4)]
+    assert got("Which isotherm of agar is shown?", paper="paper", top_paper="p") == [(1, 38), (3, 7), (2, 6)]
+    assert got("What about agar?") == []
+
+
+def test_chunks_by_hand(spark):
+    texts = [("a" * 10 + "\n\n" + "b" * 10 + "\n \n" + "c" * 10,), ("x" * 50,), ("",), (None,), ("one\n\n\n two ",), ("  \n\n ",)]
+    got = [r[0] for r in spark.createDataFrame(texts, "t string").select(extract.chunked(F.col("t"), 25, 4)).collect()]
+    assert got == [["a" * 10 + "\n\n" + "b" * 10, "bbbb\n\n" + "c" * 10], ["x" * 50], [], [], ["one\n\ntwo"], []]
+    assert spark.createDataFrame([(" ab\n\ncd",)], "t string").select(extract.chunked(F.col("t"), 3, 0)).first()[0] == ["ab", "cd"]
+
+
+def test_measures_by_hand(spark):
+    text = "Compound 4a had an IC₅₀ of 5.2 µM. Its solubility in water is 3 mg/mL and logP = -1.5; (7b) MIC: 3-5 µM, mp 120-122 °C, 85% yield; yield of 90 %."
+    got = [(r["kind"], r["property"], r["value"], r["unit"], r["compound"]) for r in extract.measures_in_text(spark.createDataFrame([(1, text), (2, None), (3, "nothing")], "id long, t string"), "id", "t").orderBy("kind", "position").collect()]
+    assert got == [("affinity", "IC50", "5.2", "µM", "4a"), ("affinity", "MIC", "3-5", "µM", "7b"), ("logp", "logP", "-1.5", None, "4a"), ("melting_point", "melting_point", "120-122", "°C", "7b"), ("solubility", "solubility", "3", "mg/mL", "4a"), ("yield", "yield", "85", "%", "7b"), ("yield", "yield", "90", "%", "7b")]
+
+
+def test_table_measures_by_hand(spark):
+    md = "| Entry | IC50 (nM) | note |\n|---|---|---|\n| 3a | 12 | x |\n| - | 5 | x |\n| 3b | n/d | x |\n| 3c |"
+    got = [tuple(r)[1:] for r in extract.table_measures(spark.createDataFrame([("t1", md), ("t2", "no table"), ("t3", None)], "k string, b string"), "k", "b").collect()]
+    assert got == [(0, "3a", "IC50", "conc", "nM", "12", "[t1] IC50 (nM) = 12")]
+    figs = spark.createDataFrame([("p", "figure", "b", "two"), ("p", "figure", "a", "one"), ("p", "table", "a", " "), ("q", "table", "a", "t")], "paper string, kind string, asset_id string, t string")
+    assert sorted(tuple(r) for r in extract.asset_chunks(figs, "paper", "kind", "t").collect()) == [("p", "p:f_0", "one"), ("p", "p:f_1", "two"), ("q", "q:t_0", "t")]
+
+
+def test_standardised_records_by_hand(spark):
+    cases = [
+        ("IC50", "5", "µM", None), ("IC50", "5", None, "old"), ("MIC", "> 3", "mg/L", None), ("MIC", "2-4", "µM", None), ("mp", "100", "°F", None), ("yield", "50", "x", None), ("logP", "1.5", None, None),
+        ("IC50", "abc", "nM", None), ("IC50", "< 2e6", "nM", None), ("strange", "7", "u", None), (None, None, None, None), ("Ki", "9-3", "nM", None), ("Kd", "1", "nM", None), ("MW", "1.2", "kDa", None),
+    ]
+    df = spark.createDataFrame([(i, *c, "binding assay", None) for i, c in enumerate(cases)], "id int, property string, value_raw string, unit_raw string, review_reason string, assay_type_raw string, organism_raw string")
+    got = [(r["property"], r["value_std"], r["unit_std"], r["conversion_note"], r["value_op"], r["value_min"], r["value_max"], r["review_reason"]) for r in standardise.standardise_records(df).orderBy("id").collect()]
+    assert got[0] == ("IC50", 5000.0, "nM", "1 µM = 1000 nM", None, None, None, None)
+    assert got[1] == ("IC50", 5.0, "nM", "unit missing → assumed nM", None, None, None, "old; value note: unit assumed")
+    assert got[2] == ("MIC", None, "nM", None, ">", None, None, "unit standardisation: invalid unit: mg/L")
+    assert got[3] == ("MIC", 3000.0, "nM", "1 µM = 1000 nM", None, 2000.0, 4000.0, "value note: range")
+    assert got[4][:4] == ("melting_point", 37.777778, "degC", "°F → degC") and got[5][:4] == ("yield", 50.0, "%", "already canonical")
+    assert got[6][:4] == ("logP", 1.5, None, "no canonical unit for family") and got[7][7] == "unit standardisation: unparseable value"
+    assert got[8] == ("IC50", 2000000.0, "nM", "already canonical", "<", None, 2000000.0, "value note: comparator <; weak IC50: 2e+06 nM (> 1 mM, likely inactive)")
+    assert got[9][7] == "unstandardised: unrecognised property 'strange'" and got[10][1:7] == (None,) * 6 and got[11][7] == "unit standardisation: suspicious range"
+    assert got[12][7] is None and got[13][:4] == ("MW", 1200.0, "g/mol", "1 kDa = 1000 g/mol")
+
+
+def test_assembled_rows(spark):
+    fields = ", ".join(f"{c} string" for c in standardise.FIELDS)
+    rows = spark.createDataFrame([("p", 1, "*4a*", "MIC", "=", "5,0", "nM", " E.  coli "), ("p", 2, "4a", "MIC", "=", "5.0", "nM", "E. coli"), ("p", 3, "(5)", None, None, "nan", "", None), ("p", 4, "6", None, None, None, None, None), ("q", 5, None, None, None, None, None, None)], f"pdf string, row_id long, compound_id string, {fields}")
+    given = spark.createDataFrame([("p", "4a", "C"), ("p", "9", None)], "pdf string, compound_id string, smiles string")
+    pool = spark.createDataFrame([("p", "N"), ("p", "O")], "pdf string, smiles string")
+    got = sorted(tuple(r)[:5] for r in standardise.assemble(rows, given, pool).collect())
+    n = standardise.NOT_DETECTED
+    assert got == [("p", "4a", "C", "MIC", "="), ("p", "5", "N", n, n), ("p", "6", "O", n, n), ("q", n, n, n, n)]
+    assert {r["target_value"] for r in standardise.assemble(rows, given, pool).collect()} == {"5", n}
 
 
 def test_mentions_are_whole_tokens(spark):
