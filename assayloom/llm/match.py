@@ -386,21 +386,28 @@ def parted(found: DataFrame, carried: DataFrame, classes: DataFrame) -> DataFram
 def components(edges: DataFrame) -> DataFrame:
     """(c, work, weakest): the smallest node each node is linked to over any number of links, and the weakest link of its work.
 
-    Labels spread to neighbours and are then replaced by their label's label, so the rounds grow with the logarithm of the longest
-    chain; every round is cut from its lineage in the shared folder.
+    Every node hooks on to the first of its neighbours and itself in a random order, edges are drawn between the hooks, and what is
+    left of them is treated alike until none is. An order by hash leaves a fraction of the nodes of any graph, so the rounds grow
+    with the logarithm of its size, and all but the first are short; every round is cut from its lineage in the shared folder.
     """
-    links = cut(edges.select("a", "b", "confidence").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "confidence")))
-    labels = cut(links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), F.least("a", "m").alias("work")))
+    first = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("c"))
+    rest, hooks = edges.select("a", "b"), []
     while True:
-        heard = links.join(labels, F.col("b") == F.col("c")).groupBy("a").agg(F.min("work").alias("m"))
-        spread = labels.join(heard, F.col("c") == F.col("a")).select("c", F.least("work", "m").alias("work"), F.col("work").alias("was"))
-        up = labels.select(F.col("c").alias("p"), F.col("work").alias("q"))
-        jumped = cut(spread.join(up, F.col("work") == F.col("p")).select("c", F.least("work", "q").alias("work"), "was"))
-        labels = jumped.select("c", "work")
-        if jumped.filter("work <> was").limit(1).count() == 0:
+        near = rest.select("a", first("b").alias("x")).unionByName(rest.select(F.col("b").alias("a"), first("a").alias("x")))
+        step = near.groupBy("a").agg(F.min("x").alias("x")).select(F.col("a").alias("c"), F.least("x", first("a"))["c"].alias("p"))
+        hooked = cut(step)
+        up = lambda x: hooked.select(F.col("c").alias(x), F.col("p").alias(f"p{x}"))  # noqa: B023, E731
+        hooks.append(hooked)
+        rest = cut(rest.join(up("a"), "a").join(up("b"), "b").filter("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct())
+        if rest.limit(1).count() == 0:
             break
-    weakest = links.join(labels, F.col("a") == F.col("c")).groupBy("work").agg(F.min("confidence").alias("weakest"))
-    return labels.join(weakest, "work")
+    root = hooks[-1]
+    for hooked in reversed(hooks[:-1]):
+        later = root.select(F.col("c").alias("p"), F.col("p").alias("q"))
+        root = hooked.join(later, "p", "left").select("c", F.coalesce("q", "p").alias("p"))
+    root = cut(root)
+    told = edges.join(root.select(F.col("c").alias("a"), "p"), "a").groupBy("p").agg(F.min(F.least("a", "b")).alias("work"), F.min("confidence").alias("weakest"))
+    return root.join(told, "p").select("c", "work", "weakest")
 
 
 def found(papers: DataFrame) -> DataFrame:

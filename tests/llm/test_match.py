@@ -104,7 +104,7 @@ def test_preprint_servers_name_no_journal(spark):
 
 def test_components_against_union_find(spark):
     rng = random.Random(4)
-    edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)]
+    edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 540)]
     edges = [(min(e), max(e)) for e in edges if e[0] != e[1]]
     parent = {}
 
