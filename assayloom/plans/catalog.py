@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.functions import numeric, text
-from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score, standardise
+from assayloom.functions import identity, numeric, text
+from assayloom.operators import curate, extract, fuzzy, graph, joins, order, pools, quantities, retrieve, routing, score, standardise
 from assayloom.session import table
 from assayloom.sources import connectors, fulltext
 from assayloom.streaming import windows
@@ -676,6 +676,69 @@ def _precedence(t):
     return best.join(padded.select("doi", "at", "source"), ["doi", "at"]).select("doi", "source")
 
 
+@query("open_rows", "select pdf, doi from manifest where coalesce(lower(trim(access)) in ('1', '1.0', 'true', 'yes', 'y', 'open', 'oa', 'gold', 'green', 'hybrid', 'bronze'), false)")
+def _open(t):
+    return pools.open_rows(t("manifest")).select("pdf", "doi")
+
+
+@query("name_candidates")
+def _candidates(t):
+    rows = t("curated_records").filter("name_raw is not null").select("rec_no", identity.name_candidates(F.col("name_raw")).alias("c"))
+    return rows.select("rec_no", F.posexplode("c")).select("rec_no", F.col("pos").cast("long").alias("pos"), F.col("col").alias("candidate"))
+
+
+@query("structural_captions", f"select paper_row from papers where title is not null and list_bool_or([contains(lower(title), k) for k in [{', '.join(repr(k) for k in identity.STRUCTURAL)}]])")
+def _structural(t):
+    return t("papers").filter(F.col("title").isNotNull() & identity.is_structural(F.col("title"))).select("paper_row")
+
+
+_STRIPPED = r"regexp_replace(doi, '^\s+|\s+$', '', 'g')"
+
+
+@query("graph_ids", rf"""select paper_row, case when {_STRIPPED} = '' then '' else 'https://doi.org/' || {_STRIPPED} end url, case when regexp_matches({_STRIPPED}, '(?i)^(doi|arxiv|pmid|corpusid|mag):') then {_STRIPPED} when contains({_STRIPPED}, '/') and not starts_with({_STRIPPED}, 'http') then 'DOI:' || {_STRIPPED} else {_STRIPPED} end sid from papers where doi is not null""")
+def _graph_ids(t):
+    return t("papers").filter("doi is not null").select("paper_row", identity.doi_url(F.col("doi")).alias("url"), identity.graph_id(F.col("doi")).alias("sid"))
+
+
+@query("scheme_ids", "select rec_no, coalesce('inchikey:' || lower(nullif(inchikey, '')), 'smiles:' || lower(nullif(smiles_canonical, '')), 'pubchem_cid:' || lower(nullif(pubchem_cid, '')), 'cas:' || lower(nullif(cas, '')), lower(regexp_replace(coalesce(name_std, ''), '^\\s+|\\s+$', '', 'g'))) eid from curated_records")
+def _schemes(t):
+    ids = {"cas": F.col("cas"), "inchikey": F.col("inchikey"), "smiles": F.col("smiles_canonical"), "pubchem_cid": F.col("pubchem_cid")}
+    return t("curated_records").select("rec_no", identity.scheme_id(ids, F.col("name_std")).alias("eid"))
+
+
+@query("ordered_union", """with e as (select pdf, smiles, 0 s, row_id o from assay_rows where bacteria_unified is not null and smiles <> 'NOT_DETECTED' and smiles <> '' union all select pdf, smiles, 1, row_id from assay_rows where smiles <> 'NOT_DETECTED' and smiles <> '')
+    select pdf, smiles, min(s)::int source, arg_min(o, s * 1000000000000::bigint + o) row_id from e group by 1, 2""")
+def _ordered(t):
+    rows = t("assay_rows").filter("smiles <> 'NOT_DETECTED'")
+    return pools.ordered_union([rows.filter("bacteria_unified is not null"), rows], ["pdf"], "smiles", "row_id")
+
+
+@query("table_scores", f"""with c as (select pdf, page_target, trim(coalesce(x, '')) x from (select pdf, page_target, unnest([target_value, bacteria]) x from assay_rows where pdf is not null and page_target is not null)),
+    s as (select pdf, page_target, sum(case when x in ({', '.join(repr(p) for p in pools.POWERS)}) then 1.0 else 0 end + case when x[1] in ('>', '<', '≥', '≤') then 1.5 else 0 end + 2.0 * len(regexp_extract_all(x, '{pools.ORGANISMS}')))::double score from c group by 1, 2)
+    select pdf, page_target, score, rank from (select *, row_number() over (partition by pdf order by score desc, page_target)::int rank from s where score >= 3) where rank <= 6""")
+def _table_scores(t):
+    cells = t("assay_rows").filter("pdf is not null and page_target is not null").select("pdf", "page_target", F.explode(F.array("target_value", "bacteria")).alias("x"))
+    return pools.best_tables(pools.table_scores(cells, ["pdf", "page_target"], "x"), "pdf", "page_target").select("pdf", "page_target", "score", "rank")
+
+
+@query("per_level", "select c_custkey, c_mktsegment from (select *, row_number() over (partition by c_mktsegment order by c_custkey) r from customer) where r <= 5")
+def _per_level(t):
+    return pools.per_level(t("customer"), "c_mktsegment", "c_custkey", 5).select("c_custkey", "c_mktsegment")
+
+
+@query("manual_downloads", "select o_orderkey, min(reason) reason from (select o_orderkey, 'download failed' reason from orders where o_orderstatus = 'F' union all select o_orderkey, 'file bad' from orders where o_orderpriority = '1-URGENT') group by 1")
+def _manual(t):
+    orders = t("orders")
+    done = orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "failed").otherwise("ok").alias("status"))
+    checked = orders.select("o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", "bad").otherwise("ok").alias("status"))
+    return pools.manual_downloads(done, checked, "o_orderkey")
+
+
+@query("backfill", "select r.row_id, coalesce(r.title, m.title) title from assay_rows r left join (select pdf, min(title) title from manifest where pdf is not null group by 1) m using (pdf)")
+def _backfill(t):
+    return pools.backfill(t("assay_rows").select("row_id", "pdf", "title"), t("manifest").select("pdf", "title"), ["pdf"], ["title"]).select("row_id", "title")
+
+
 @query("strategy_route", f"select doc_id, {_PAGE} kind, case when {_HITS} >= 15 then case when {_PAGE} = 'scanned' then 'reingest' else 'names' end else 'images' end strategy from documents where text is not null")
 def _strategy(t):
     kind = routing.page_class(F.length("text"), F.coalesce("n_pages", F.lit(1)))

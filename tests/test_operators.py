@@ -8,7 +8,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from assayloom.operators import curate, extract, fuzzy, graph, joins, order, quantities, retrieve, routing, score, standardise
+from assayloom.functions import identity
+from assayloom.operators import curate, extract, fuzzy, graph, joins, order, pools, quantities, retrieve, routing, score, standardise
 from assayloom.sources import readers, writers
 from assayloom.streaming import windows
 
@@ -306,3 +307,29 @@ def test_name_clusters(spark):
     assert got == {"7-benzyloxy-thiazole 3c": "7-benzyloxy-thiazole 3c", "7-benzyloxy-thiazole 3d": "7-benzyloxy-thiazole 3c", "indole": "indole", "indoles": "indoles"}
     exact = {r["name_std"]: r["leader"] for r in fuzzy.cluster_names(df, "rec_no", "name_std", exact=True).collect()}
     assert exact["indoles"] == "indole"
+
+
+def test_names_and_keys_by_hand(spark):
+    names = [("7b (levofloxacin)",), ("15a-levorphanol",), ("compound 3",), ("12",), ("ligand",), (None,), ("Aspirin (acetyl salicylic acid), ",)]
+    got = [r[0] for r in spark.createDataFrame(names, "n string").select(identity.name_candidates(F.col("n"))).collect()]
+    assert got == [["7b (levofloxacin)", "levofloxacin", "(levofloxacin)"], ["15a-levorphanol", "levorphanol"], [], [], [], [], ["Aspirin (acetyl salicylic acid)", "acetyl salicylic acid", "Aspirin"]]
+    rows = [("entity", "drug", None, None, "x", "cas:1"), ("relation", None, " A ", "B", "x", None), ("measurement", None, None, None, " MIC", None)]
+    df = spark.createDataFrame(rows, "kind string, type string, subject string, object string, value string, eid string")
+    fields = {"type": F.col("type"), "subject": F.col("subject"), "relation": F.lit("Binds"), "object": F.col("object"), "unit": F.lit("nM")}
+    assert [r[0] for r in df.select(identity.record_key(F.col("kind"), fields, F.col("value"), F.col("eid"))).collect()] == [["entity", "drug", "cas:1"], ["relation", "a", "binds", "b"], ["measurement", "mic", "nM"]]
+    assert spark.range(1).select(identity.domain(F.lit(" Co_crystals "))).first()[0] == "cocrystals"
+
+
+def test_pools_by_hand(spark):
+    pool = spark.createDataFrame([("p", "m", "B", 2), ("p", "m", "A", 1), ("p", "m", "B", 3), ("p", "d", "A", 1), ("q", "d", "", 1)], "paper string, engine string, smiles string, at int")
+    assert {r["paper"]: r["engines"] for r in pools.converge(pool, "paper", "engine", "smiles", "at").collect()} == {"p": {"m": ["A", "B"], "d": ["A"]}}
+    refs = spark.createDataFrame([(["10.1/A", "10.2/b", None], "10.1/a"), (["x"], None), (None, "y")], "r array<string>, own string")
+    assert [r[0] for r in refs.select(pools.without_self(F.col("r"), F.col("own"))).collect()] == [["10.2/b", None], ["x"], None]
+    entities = spark.createDataFrame([(1, "AAA-B-N"), (2, None), (3, "CCC-D-N"), (4, "EEE")], "entity int, inchikey string")
+    names = spark.createDataFrame([(1, 1, "Aspirin"), (1, 2, "ASA"), (2, 1, "ASA"), (3, 1, "aspirin"), (4, 1, "nothing")], "entity int, ord int, name string")
+    lookup = spark.createDataFrame([("nist", "aspirin", "AAA-X-N"), ("pubchem", "asa", "AAA-B-N")], "source string, name string, inchikey string")
+    got = {r["entity"]: (r["source"], r["found"], r["status"]) for r in pools.enrich(entities, names, lookup, ("pubchem", "nist")).collect()}
+    assert got == {1: ("pubchem", "AAA-B-N", "passed"), 2: ("pubchem", "AAA-B-N", "unverified"), 3: ("nist", "AAA-X-N", "mismatch")}
+    gold = spark.createDataFrame([("p", "5", "a"), ("p", "6", "b"), ("q", "1", "c")], "pdf string, v string, o string")
+    pred = spark.createDataFrame([("p", "base", "5", "a"), ("p", "new", "5", "a"), ("p", "new", "6", "b"), ("q", "new", "2", "c")], "pdf string, variant string, v string, o string")
+    assert {(r["variant"], r["article"]): r["f1_e6"] for r in pools.ablation(gold, pred, "pdf", "variant", ["v", "o"], ["base", "new"]).collect()} == {("base", "p"): 666667, ("base", "q"): 0, ("new", "p"): 1000000, ("new", "q"): 500000}
