@@ -21,6 +21,8 @@ from assayloom.session import cut
 
 #: Documents that one task samples at a time.
 BLOCK = 50_000
+#: Rows of weights that every task may hold; beyond, they are joined by a shuffle.
+KNOWN_CELLS = 100_000
 #: Share of the largest possible size that is drawn; less leaves the other margins more choice.
 ROOM = 1.0
 _DRAW = T.StructType().add("mix_id", T.IntegerType()).add("source", T.StringType()).add("doc_id", T.LongType()).add("tokens", T.LongType()).add("copies", T.LongType())
@@ -127,7 +129,9 @@ def mix_sources(documents: DataFrame, targets: DataFrame, topics: DataFrame | No
     spark = documents.sparkSession
     weights = spark.createDataFrame(rows, "mix_id int, source string, lang string, topic int, weight double")
     blocks = spark.createDataFrame([(s, -(-n // block)) for s, n in counts.items()] or [("", 1)], "source string, blocks long")
-    drawn = sized.join(F.broadcast(weights), ["source", "lang", "topic"]).join(F.broadcast(blocks), "source")  # one row per cell or source of the targets
+    # one row per cell or source of the targets: sent to every task only while there are few
+    few = lambda df, n: F.broadcast(df) if n <= KNOWN_CELLS else df
+    drawn = sized.join(few(weights, len(rows)), ["source", "lang", "topic"]).join(few(blocks, len(counts)), "source")
     drawn = drawn.withColumn("order", F.xxhash64("doc_id", "mix_id")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     return drawn.groupBy("mix_id", "source", "block").applyInPandas(_draw, _DRAW)
 
