@@ -647,6 +647,11 @@ def _standardised(t):
     return standardise.standardise_records(raw).select(*cols)
 
 
+@query("standardised_issues")
+def _standardised_issues(t):
+    return curate.issue_counts(standardise.standardise_records(t("curated_records")))
+
+
 _SQ = "trim(regexp_replace({0}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
 _FILL = "case when {0} is null or {0} in ('', 'nan', 'None') then 'NOT_DETECTED' else {0} end"
 _NUM = r"case when regexp_full_match(replace(trim(target_value), ',', '.'), '-?\d+(\.\d+)?') then regexp_replace(replace(trim(target_value), ',', '.'), '\.0+$', '') else target_value end"
