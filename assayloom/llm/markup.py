@@ -9,6 +9,7 @@ formulas (`$x$`) and table rows (`a | b`); emphasis, links, references and templ
 from __future__ import annotations
 
 import html
+import itertools
 import json
 import re
 from collections.abc import Iterator, Mapping
@@ -16,6 +17,7 @@ from html.entities import html5
 
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -240,12 +242,12 @@ def render(node: Node, template: Mapping[str, frozenset[str]] = _NONE, path: str
 _ITEMS = re.compile(r"(?m)^((?:- |\d+\. ).*)\n\n(?=- |\d+\. )")
 
 
-def _write(node: Node, out: list[str], template: Mapping[str, frozenset[str]], path: str) -> None:
+def _write(node: Node, out: list[str], template: Mapping[str, frozenset[str]], path: str, amid: bool = False) -> None:
     gone = template.get(path)
     for i, kid in enumerate(node.kids):
         tag, slot = kid.tag, f"{path}/{kid.tag}"
         if not tag:
-            out.append("".join(gap if leaf in gone else sentence + gap for sentence, gap, leaf in leaves(node, i)) if gone else kid.text)
+            out.append("".join(gap if leaf in gone else sentence + gap for sentence, gap, leaf in leaves(node, i, amid)) if gone else kid.text)
         elif tag in _DROPPED:
             continue
         elif tag == "br":
@@ -268,7 +270,7 @@ def _write(node: Node, out: list[str], template: Mapping[str, frozenset[str]], p
             cells = [render(c, template, f"{slot}/{c.tag}").replace("\n", " ") for c in kid.kids if c.tag]
             out.append("\n" + " | ".join(cells))
         elif tag in ("sub", "sup") or tag in _INLINE:
-            _write(kid, out, template, slot)
+            _write(kid, out, template, slot, amid or _amid(node, i))
         else:
             out.append("\n")
             _write(kid, out, template, slot)
@@ -282,11 +284,17 @@ def _flat(node: Node) -> str:
 _LEAF = re.compile(r"(.*?(?:(?<=[.!?])(?=\s|\Z)|(?=\n)|\Z))(\s*)", re.S)
 
 
-def leaves(node: Node, i: int) -> list[tuple[str, str, str]]:
+def _amid(node: Node, i: int) -> bool:
+    """Whether a child is an inline element beside text."""
+    kids = node.kids
+    return kids[i].tag in _INLINE and any(0 <= j < len(kids) and not kids[j].tag and kids[j].text.strip() for j in (i - 1, i + 1))
+
+
+def leaves(node: Node, i: int, amid: bool = False) -> list[tuple[str, str, str]]:
     """(sentence, white space behind it, its digest) of a text child.
 
     The digest is the sentence, a long one by a digest of all of it; empty for stretches that are no sentence of their own:
-    short ones and those that go on in an inline element.
+    short ones, those that go on in an inline element, and those that do not end in an element `amid` other text.
     """
     kids, out = node.kids, []
     text = kids[i].text
@@ -297,7 +305,7 @@ def leaves(node: Node, i: int) -> list[tuple[str, str, str]]:
         if not m[0]:
             continue
         body = sentence.strip()
-        own = len(body) >= 8 and not (joined_before and m.start() == 0) and (not joined_behind or m.end() < len(text) or body[-1] in ".!?")
+        own = len(body) >= 8 and (not amid or body[-1] in ".!?") and not (joined_before and m.start() == 0) and (not joined_behind or m.end() < len(text) or body[-1] in ".!?")
         out.append((sentence, gap, (body if len(body) <= 64 else body[:33] + xxhash.xxh3_128_hexdigest(body)) if own else ""))
     return out
 
@@ -311,29 +319,30 @@ def clean(text: str | None, template: Mapping[str, frozenset[str]] = _NONE) -> t
 
 
 # ---- wrapper induction -------------------------------------------------------------------------------------------------
-# A wrapper node is [tag, pages, counters, kids]: `counters` are lower bounds of how often the most frequent leaves stand in the node
-# (Misra-Gries, mergeable): a leaf is missed only where it makes up less than one in `_HEAVY` of the node's leaves.
-_HEAVY = 1024
+# A wrapper node is [tag, pages, counters, kids, ids]: `counters` tell on how many pages each leaf stands in the node. They leave the
+# task batch by batch under the node's id and are summed by Spark, all of them; of a wrapper only its nodes travel, with the ids they had.
 _NO_LEAVES = _HEADS | {"math", "tex-math", "inline-formula", "code", "tt", "kbd", "pre", "td", "th", "tr", "li", "list-item"}
 
 
 def _tree(node: Node) -> list:
-    """The tree of a page; siblings of one tag are one repeated node."""
-    counters: dict[str, int] = {}
-    kids: dict[str, list] = {}
+    """The tree of a page; siblings of one tag are one repeated node, and a leaf counts once in a node."""
+    tree: list = [node.tag, 1, {}, [], []]
+    _grow(tree, node, {})
+    return tree
+
+
+def _grow(tree: list, node: Node, kids: dict[str, tuple[list, dict]], amid: bool = False) -> None:
     for i, kid in enumerate(node.kids):
         if kid.tag:
-            sub = _tree(kid)
-            if kid.tag in kids:
-                merge(kids[kid.tag], sub)
-                kids[kid.tag][1] = 1
-            else:
-                kids[kid.tag] = sub
+            if kid.tag not in kids:
+                kids[kid.tag] = [kid.tag, 1, {}, [], []], {}
+                tree[3].append(kids[kid.tag][0])
+            sub, below = kids[kid.tag]
+            _grow(sub, kid, below, amid and kid.tag in _INLINE or _amid(node, i))
         elif node.tag not in _NO_LEAVES:
-            for *_, leaf in leaves(node, i):
+            for *_, leaf in leaves(node, i, amid):
                 if leaf:
-                    counters[leaf] = 1  # once a page
-    return [node.tag, 1, counters, list(kids.values())]
+                    tree[2][leaf] = 1  # once a page
 
 
 def tree_match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
@@ -363,12 +372,6 @@ def tree_match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
 def _count(into: dict[str, int], more: dict[str, int]) -> None:
     for k, v in more.items():
         into[k] = into.get(k, 0) + v
-    if len(into) > 2 * _HEAVY:
-        cut_at = sorted(into.values(), reverse=True)[_HEAVY]
-        for k in list(into):
-            into[k] -= cut_at
-            if into[k] <= 0:
-                del into[k]
 
 
 def merge(into: list, tree: list, seen: dict | None = None) -> None:
@@ -377,6 +380,7 @@ def merge(into: list, tree: list, seen: dict | None = None) -> None:
     A node of a page has one child per tag, so a wrapper is bounded by the tags and their orders, not by the number of pages.
     """
     into[1] += tree[1]
+    into[4] += tree[4]
     _count(into[2], tree[2])
     if not tree[3]:
         return
@@ -403,14 +407,27 @@ def _shape(tree: list) -> tuple:
 
 
 _WRAPPER = T.StructType().add("host", T.StringType()).add("part", T.IntegerType()).add("wrapper", T.StringType())
-_TEMPLATE = T.StructType().add("host", T.StringType()).add("path", T.StringType()).add("leaf", T.StringType())
+#: Rows of two kinds: wrappers, and the pages that a leaf stands on in a node.
+_FOLDED = T.StructType([*_WRAPPER, T.StructField("node", T.LongType()), T.StructField("leaf", T.StringType()), T.StructField("n", T.LongType())])
+_NODES = T.StructType().add("host", T.StringType()).add("node", T.LongType()).add("path", T.StringType()).add("of", T.LongType())
 #: Wrappers of one host that one task merges at a time.
 _FANS = 16
 
 
+def _drain(host: str, node: list, ids: Iterator[int], out: list[tuple]) -> None:
+    """Moves the counters of a wrapper to `out`, giving an id to nodes that have none."""
+    if not node[4]:
+        node[4].append(next(ids))
+    out.extend((host, None, None, node[4][0], leaf, n) for leaf, n in node[2].items())
+    node[2].clear()
+    for kid in node[3]:
+        _drain(host, kid, ids, out)
+
+
 def _fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     wrappers: dict[str, list] = {}
     seen: dict[str, dict] = {}
+    ids = itertools.count(TaskContext.get().partitionId() << 32)
     for df in parts:
         for host, dom in zip(df["host"], df["dom"]):
             tree = _tree(from_json(json.loads(dom)))
@@ -418,8 +435,15 @@ def _fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 merge(wrappers[host], tree, seen.setdefault(host, {}))
             else:
                 wrappers[host] = tree
-    if wrappers:
-        yield pd.DataFrame({"host": list(wrappers), "part": [xxhash.xxh32_intdigest(json.dumps(w)) % _FANS for w in wrappers.values()], "wrapper": [json.dumps(w) for w in wrappers.values()]})
+        out: list[tuple] = []
+        for host in df["host"].unique():
+            _drain(host, wrappers[host], ids, out)
+        yield _folded(out)
+    yield _folded([(h, xxhash.xxh32_intdigest(w) % _FANS, w, None, None, None) for h, w in ((h, json.dumps(w)) for h, w in wrappers.items())])
+
+
+def _folded(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=_FOLDED.names).astype({"part": "Int32", "node": "Int64", "n": "Int64"})
 
 
 def _merged(wrappers: list[str]) -> list:
@@ -432,31 +456,39 @@ def _merged(wrappers: list[str]) -> list:
     return out
 
 
-def template_leaves(wrapper: list, share: float, pages: int) -> dict[str, set[str]]:
-    """By path of tags the leaves that stand on at least `pages` pages and at least `share` of those with their node."""
-    out: dict[str, set[str]] = {}
+def _nodes(host: str, wrapper: list) -> list[tuple]:
+    """(host, id, path of tags, pages) of each id that a node of the wrapper had.
+
+    Siblings that cross between pages stand in the wrapper several times; as a page has one node of a path, they are one node here.
+    """
+    pages: dict[str, int] = {}
+    ids: list[tuple[int, str]] = []
 
     def walk(node: list, path: str) -> None:
-        if constant := {leaf for leaf, n in node[2].items() if n >= pages and n >= share * node[1]}:
-            out.setdefault(path, set()).update(constant)
+        pages[path] = pages.get(path, 0) + node[1]
+        ids.extend((i, path) for i in node[4])
         for kid in node[3]:
             walk(kid, f"{path}/{kid[0]}")
 
     walk(wrapper, wrapper[0])
-    return out
+    return [(host, i, path, pages[path]) for i, path in ids]
 
 
 def induce(doms: DataFrame, share: float, pages: int) -> DataFrame:
-    """(host, path, leaf) of the template, from rows (host, dom): folded within partitions, merged across them in two steps."""
+    """(host, path, leaf) of the template, from rows (host, dom): leaves that stand on at least `pages` pages and at least `share` of those
+    with their node. Wrappers are folded within partitions and merged across them in two steps; the leaves of a node are counted in full."""
 
     def some(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": [key[0]], "part": [0], "wrapper": [json.dumps(_merged(list(part["wrapper"])))]})
 
     def last(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        found = template_leaves(_merged(list(part["wrapper"])), share, pages)
-        return pd.DataFrame([(key[0], p, leaf) for p, names in found.items() for leaf in sorted(names)], columns=_TEMPLATE.names)
+        return pd.DataFrame(_nodes(key[0], _merged(list(part["wrapper"]))), columns=_NODES.names)
 
-    return doms.mapInPandas(_fold, _WRAPPER).groupBy("host", "part").applyInPandas(some, _WRAPPER).groupBy("host").applyInPandas(last, _TEMPLATE)
+    folded = cut(doms.mapInPandas(_fold, _FOLDED))
+    wrappers = folded.filter("wrapper is not null").select(*_WRAPPER.names)
+    nodes = wrappers.groupBy("host", "part").applyInPandas(some, _WRAPPER).groupBy("host").applyInPandas(last, _NODES)
+    counted = folded.filter("leaf is not null").select("host", "node", "leaf", "n").join(nodes, ["host", "node"]).groupBy("host", "path", "of", "leaf").agg(F.sum("n").alias("n"))
+    return counted.filter((F.col("n") >= pages) & (F.col("n") >= share * F.col("of"))).select("host", "path", "leaf")
 
 
 _CLEAN = T.StructType().add("text", T.StringType()).add("marks", T.IntegerType())
@@ -502,7 +534,7 @@ def clean_markup(df: DataFrame, text: str, host: str, into: str = "clean", share
     """Adds the struct `into` (text, marks): clean text and the number of marks found; nulls for null, text unchanged where none.
 
     Every text is parsed once, and wrappers are induced over all rows with marks. What comes back to the driver are the template
-    leaves of the hosts: at most 2048 for each path of tags, whatever the number of rows. Empty and very long texts, unclosed marks,
+    leaves of the hosts: at most 1 / `share` times the leaves that a page has in a node, whatever the number of rows. Empty and very long texts, unclosed marks,
     deeply nested ones and marks encoded several times are legal.
     """
     marked = parsed(df, text)

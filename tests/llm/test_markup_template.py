@@ -42,3 +42,28 @@ def test_deep_nesting_and_the_hint_cover_all_markup():
     assert markup.clean("<div>" * 5000 + "x" + "</div>" * 5000)[0] == "x"
     for text in ("&amp;", "<b>x", "# x", "> x", "- x", "1. x", "a\n===", "| a |", "```", "**x", "_x_", "''x", "[[x", "{{x", "](x", "\\item", "\\(x", "$$", "$x_1$"):
         assert markup._HINT.search(text), text
+
+
+def test_a_notice_among_many_sentences_is_counted_in_full(spark):
+    own = lambda i: " ".join(f"Sentence {j} of page {i} is its own." for j in range(200))
+    pages = [f"<p>{own(i)}{' Notice of the press.' if i % 2 else ''}{' Rare notice here.' if 0 < i < 30 else ''}</p>" for i in range(60)]
+    got = _cleaned(spark, pages)
+    assert not any("Notice of the press." in t for t in got.values()) and all(own(i) in got[i] for i in got)  # on 30 pages
+    assert sum("Rare notice here." in t for t in got.values()) == 29
+
+
+def test_a_sentence_that_a_page_repeats_counts_once(spark):
+    got = _cleaned(spark, [f"<p>Result {i} is new.</p>" + "<p><i>Result:</i></p><div><p>As stated before.</p></div>" * 2 * (i < 20) for i in range(60)])
+    assert all(got[i].count("As stated before.") == 2 for i in range(20))
+
+
+def test_counts_do_not_depend_on_the_order_of_siblings(spark):
+    rows = [(i, "h", "".join([f"<div>Own text {i}.</div>", "<p>Shared notice.</p>", "<pre>x</pre>"][k] for k in ((0, 1, 2), (1, 2, 0), (2, 0, 1))[i % 3])) for i in range(33)]
+    df = spark.createDataFrame(rows, "id long, host string, t string")
+    got = [r["clean"]["text"] for n in (1, 5) for r in markup.clean_markup(df.repartition(n), "t", "host").collect()]
+    assert len(got) == 66 and not any("Shared" in t for t in got)
+
+
+def test_a_label_within_a_sentence_stays(spark):
+    got = _cleaned(spark, [f"<b>Background:</b> Result {i} is new. See <a>the data</a>. <i>All rights reserved.</i>" for i in range(60)])
+    assert all(got[i] == f"Background: Result {i} is new. See the data." for i in got)
