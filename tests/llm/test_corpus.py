@@ -162,6 +162,15 @@ def test_loss_limit_binds(spark):
     assert full[1.0] > 240 >= full[0.6]
 
 
+def test_short_texts_fill_containers(spark):
+    df = spark.createDataFrame([(i, "agar") for i in range(1000)] + [(2000, "agar " * 30)], "doc_id long, text string")
+    specs = spark.createDataFrame([(1, 64), (2, 512)], "spec_id int, capacity_tokens int")
+    for r in packing.fill_report(df, specs).collect():
+        assert r["containers"] == r["least_containers"] and r["tokens"] >= 1030
+    held = packing.pack_documents(df, specs, segment_share=0.25).groupBy("spec_id", "container_id").count().groupBy("spec_id").agg(F.max("count")).collect()
+    assert {tuple(r) for r in held} == {(1, 16), (2, 128)}
+
+
 def test_mix_sources(spark):
     rng = random.Random(4)
     docs = [(i, rng.choice(["a", "a", "a", "b", "c"]), rng.choice(["en", "de", None]), "word " * rng.randint(1, 60)) for i in range(600)] + [(1000, None, "en", "x"), (1001, "a", "en", ""), (1002, "a", "en", None)]
